@@ -20,6 +20,7 @@ def get_session(app: str = "framewright", master: str = "local[8]", partitions:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     for k, v in {**base, **conf}.items():
         b = b.config(k, v)

@@ -2,14 +2,38 @@
 
 from __future__ import annotations
 
-from framewright.llm import overlap, splits
-from framewright.session import load
+from pyspark.sql import functions as F
+
+from framewright.llm import containers, mixing, overlap, percentiles, reading, splits
+from framewright.session import checkpointed, load
+
+
+def _assigned(s, d):
+    return splits.assign_splits(load(s, d, "clips"), load(s, d, "sources"), load(s, d, "split_targets"))
+
+
+def _levels(s, d):
+    return reading.reading_levels(load(s, d, "documents"), load(s, d, "doc_labels"))
+
+
+def _drawn(s, d):
+    return mixing.mix(load(s, d, "documents"), load(s, d, "mix_targets"))
+
 
 QUERIES = {
     "p1_found": lambda s, d: overlap.cross_split_pairs(load(s, d, "clips")).selectExpr("least(train_pos, eval_pos) as pos_a", "greatest(train_pos, eval_pos) as pos_b"),
     "p1_overlap_report": lambda s, d: overlap.overlap_report(load(s, d, "clips")),
+    "p3_daily_percentiles": lambda s, d: percentiles.daily_percentiles(load(s, d, "clip_quality_stats")),
+    "p3_monthly_percentiles": lambda s, d: percentiles.span_percentiles(percentiles.daily_sketches(load(s, d, "clip_quality_stats")), F.trunc("day", "month")),
     "p4_found": lambda s, d: splits.split_groups(load(s, d, "clips"), load(s, d, "sources")),
-    "p4_assignment": lambda s, d: splits.assign_splits(load(s, d, "clips"), load(s, d, "sources"), load(s, d, "split_targets")),
-    "p4_split_report": lambda s, d: splits.split_report(splits.assign_splits(load(s, d, "clips"), load(s, d, "sources"), load(s, d, "split_targets")), load(s, d, "split_targets")),
+    "p4_assignment": _assigned,
+    "p4_split_report": lambda s, d: splits.split_report(_assigned(s, d), load(s, d, "split_targets")),
+    "p7_containers": lambda s, d: containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs")),
+    "p7_fill_report": lambda s, d: containers.fill_report(containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs"))),
+    "p8_draw": _drawn,
+    "p8_shares": lambda s, d: mixing.shares(checkpointed(_drawn(s, d)), load(s, d, "mix_targets")),
+    "p9_found": lambda s, d: reading.demanding(_levels(s, d)),
+    "p9_levels": _levels,
+    "p9_profile": lambda s, d: reading.profile(load(s, d, "documents"), checkpointed(_levels(s, d))),
 }
 ORACLES: dict[str, str] = {}

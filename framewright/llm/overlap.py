@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.keys import clip_key, split_name
-from framewright.session import checkpointed
+from framewright.session import checkpointed, guarded_join
 
-EVAL = ("validation", "test")
+#: Symbols of the texts: a frame size modulo this, so that a symbol takes four bytes. Frames under 2 GiB are told apart exactly.
+SYMBOLS = (1 << 31) - 1
 
 
 def lcs_length(x: list, y: list) -> int:
@@ -46,41 +47,47 @@ def manifest_lines(clips: DataFrame) -> DataFrame:
     """
     sizes = F.transform(F.col("descriptor.frame_offsets"), lambda o: F.get(o, F.lit(1)))
     d = clips.select("manifest_pos", "source_id", split_name(F.col("split")).alias("split"), clip_key(F.col("clip_id")).alias("key"), F.when(F.size(sizes) > 0, sizes).alias("sizes"))
-    return d.where("split is not null").withColumn("cls", F.md5(F.array_join("sizes", ",", "-")))
+    d = d.where("split is not null").withColumn("cls", F.unhex(F.md5(F.array_join("sizes", ",", "-"))))
+    return d.withColumn("sizes", F.transform("sizes", lambda x: (x % SYMBOLS).cast("int")))
 
 
-def suffix_array(classes: DataFrame, span: int = 2, depth: int = 8) -> DataFrame:
-    """Suffixes of all texts in ``cls, sizes, n, tr, ev`` (one text per class), partitioned by their first ``span`` symbols.
+def suffix_array(classes: DataFrame, span: int = 2, depth: int = 0) -> DataFrame:
+    """Suffixes of all texts in ``cls, sizes, n, tr, ev`` (one text per class), keyed by a hash ``k`` of their first ``span`` symbols.
 
-    ``k`` is that prefix, ``i`` the place, ``prev`` the symbol before, ``suf`` the suffix cut at ``depth``. Texts of up to four
+    ``i`` is the place, ``prev`` the symbol before and, with a ``depth``, ``suf`` the suffix cut at it. Texts of up to four
     symbols also give suffixes by one symbol, since two such texts may match without a common pair.
     """
     at = lambda i, n: F.slice("sizes", i + 1, n)
-    row = lambda i, k: F.struct(at(i, k).alias("k"), i.alias("i"), F.when(i > 0, F.get("sizes", i - 1)).alias("prev"), at(i, depth).alias("suf"))
-    none = F.array().cast("array<int>")
-    places = lambda last: F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(none)
+
+    def row(i, k):
+        deep = [F.when(i > 0, F.get("sizes", i - 1)).alias("prev"), at(i, depth).alias("suf")] if depth else []
+        return F.struct(F.xxhash64(at(i, k)).alias("k"), i.alias("i"), F.lit(k).alias("w"), *deep)
+
+    places = lambda last: F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     n = F.col("n")
     long = F.transform(places(n - span), lambda i: row(i, span))
     short = F.transform(places(F.when(n <= 4, n - 1).otherwise(-1)), lambda i: row(i, 1))
     return classes.select("cls", "n", "tr", "ev", F.explode(F.concat(long, short) if span > 1 else long).alias("x")).select("cls", "n", "tr", "ev", "x.*")
 
 
-def shared_spans(classes: DataFrame, share: float = 0.75, span: int = 2, hot: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
+def shared_spans(classes: DataFrame, share: float = 0.75, span: int = 2, hot: int = 1 << 16, depth: int = 8) -> tuple[DataFrame, DataFrame]:
     """Where suffixes of train and of evaluation texts meet: left-maximal ``a, b, i, j`` and the prefixes too common for it.
 
-    Suffixes are sorted within their prefix; neighbours with a common prefix of ``span`` form one interval of the suffix array.
-    An interval that holds one side only reveals nothing and leaves before the sort. In the others each shared span shows
-    once, where it begins (the symbols before differ). Intervals of more than ``hot`` train-evaluation pairs are
-    returned apart, for ``rare_prefix_pairs``.
+    A first pass counts each prefix by side, map-side combined and without the suffixes; prefixes of one side reveal nothing and
+    leave. The suffixes of the others are sorted, and neighbours whose common prefix is ``span`` or longer form one interval of the
+    suffix array. In it each span shared by a train and an evaluation text shows once, where it begins (the symbols before differ).
+    Prefixes of more than ``hot`` train-evaluation pairs are returned apart, for ``rare_prefix_pairs``.
     """
-    suf = suffix_array(classes, span)
-    sides = suf.groupBy("k").agg(F.sum(F.col("tr").cast("int")).alias("nt"), F.sum(F.col("ev").cast("int")).alias("ne")).where("nt > 0 and ne > 0")
-    sides = checkpointed(sides)
-    mixed = suf.join(sides.where(F.col("nt") * F.col("ne") <= hot).select("k"), "k", "left_semi")
+    counts = suffix_array(classes, span).groupBy("k").agg(F.sum(F.col("tr").cast("int")).alias("nt"), F.sum(F.col("ev").cast("int")).alias("ne")).where("nt > 0 and ne > 0")
+    sides = checkpointed(counts)
+    mixed = guarded_join(suffix_array(classes, span, depth), sides.where(F.col("nt") * F.col("ne") <= hot).select("k"), ["k"], "left_semi")
     w = Window.partitionBy("k").orderBy("suf", "cls", "i")
     # common prefix with the neighbour above in the sorted order
-    lcp = F.aggregate(F.arrays_zip(F.col("suf").alias("x"), F.lag("suf").over(w).alias("y")), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, z: F.struct((s["n"] + F.when(s["go"] & (z["x"] == z["y"]), 1).otherwise(0)).alias("n"), (s["go"] & F.coalesce(z["x"] == z["y"], F.lit(False))).alias("go")))["n"]
-    ordered = mixed.withColumn("lcp", F.coalesce(lcp, F.lit(0))).withColumn("interval", F.sum(F.when(F.col("lcp") < F.size("k"), 1).otherwise(0)).over(w))
+    pairs = F.arrays_zip(F.col("suf").alias("x"), F.lag("suf").over(w).alias("y"))
+    same = lambda z: F.coalesce(z["x"] == z["y"], F.lit(False))
+    lcp = F.aggregate(pairs, F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, z: F.struct((s["n"] + F.when(s["go"] & same(z), 1).otherwise(0)).alias("n"), (s["go"] & same(z)).alias("go")))["n"]
+    ordered = mixed.withColumn("lcp", F.coalesce(lcp, F.lit(0))).withColumn("interval", F.sum(F.when(F.col("lcp") < F.col("w"), 1).otherwise(0)).over(w))
+    ordered = checkpointed(ordered.select("k", "interval", "cls", "n", "i", "prev", "tr", "ev"))
     side = lambda flag, c, i: ordered.where(flag).select("k", "interval", F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("i").alias(i), F.col("prev").alias(f"p{c}"))
     met = side("tr", "a", "i").join(side("ev", "b", "j"), ["k", "interval"])
     met = met.where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= share * F.greatest("na", "nb")) & ~F.coalesce(F.col("pa") == F.col("pb"), F.lit(False)))
@@ -120,7 +127,9 @@ def matching_texts(lines: DataFrame, share: float = 0.75, span: int = 2, hot: in
     rest = rare_prefix_pairs(classes, hot_keys, share, span).withColumn("seeds", F.array().cast("array<struct<i:int,j:int>>"))
     cand = spans.unionByName(rest).groupBy("a", "b").agg(F.flatten(F.collect_list("seeds")).alias("seeds"))
     text = classes.select("cls", "sizes")
-    cand = cand.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
+    # the candidates are few beside the texts, which needn't move then
+    cand = guarded_join(text.toDF("a", "x"), cand, ["a"], "inner")
+    cand = guarded_join(text.toDF("b", "y"), cand, ["b"], "inner").select("a", "b", "x", "y", "seeds")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -130,10 +139,10 @@ def matching_texts(lines: DataFrame, share: float = 0.75, span: int = 2, hot: in
                 m = lcs_length(x, y)
                 if m >= share * max(len(x), len(y)):
                     cx, cy = span_coverage(x, y, [(s["i"], s["j"]) for s in seeds])
-                    out.append((a, b, m, max(cx, m) / len(x), max(cy, m) / len(y)))
+                    out.append((bytes(a), bytes(b), m, max(cx, m) / len(x), max(cy, m) / len(y)))
             yield pd.DataFrame(out, columns=["a", "b", "same", "cover_a", "cover_b"])
 
-    near = cand.mapInPandas(check, "a string, b string, same int, cover_a double, cover_b double")
+    near = cand.mapInPandas(check, "a binary, b binary, same int, cover_a double, cover_b double")
     same = classes.where("tr and ev").select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.col("n").alias("same"), F.lit(1.0).alias("cover_a"), F.lit(1.0).alias("cover_b"))
     return near.unionByName(same)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -133,7 +134,8 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame) -> dict[str, list[list]]:
         """Write ``df`` into a new generation folder; its files by partition."""
-        gen = f"{self.path}/data/{uuid.uuid4().hex}"
+        uid = uuid.uuid4().hex
+        gen = f"{self.path}/data/{uid}"
         df.write.partitionBy(self.part).parquet(gen)
         got: dict[str, list[list]] = {}
         meta = self.spark.read.parquet(gen).groupBy(F.input_file_name().alias("f"), F.col(self.part).cast("string").alias("p")).agg(F.count("*").alias("n"))
@@ -141,9 +143,9 @@ class SnapshotTable:
         it = self._fs.listFiles(self._p(gen), True)
         while it.hasNext():
             s = it.next()
-            sizes[s.getPath().getName()] = (s.getPath().toString(), s.getLen())
+            sizes[s.getPath().toString().rsplit(f"/{uid}/", 1)[1]] = (s.getPath().toString(), s.getLen())
         for r in meta.collect():  # one row per file of this commit
-            path, b = sizes[r["f"].rsplit("/", 1)[1]]
+            path, b = sizes[unquote(r["f"]).rsplit(f"/{uid}/", 1)[1]]
             got.setdefault(r["p"] if r["p"] is not None else "", []).append([path, b, r["n"]])
         return got
 

@@ -295,7 +295,7 @@ def aligned_rows(skeleton: DataFrame, clips: DataFrame, clip: str = "clip_id") -
     one = (F.col("d") == F.col("c")) & (F.col("lo") >= 1) & (F.col("hi") <= F.col("n_frames"))
     zero = (F.col("d") == F.col("c")) & (F.col("lo") >= 0) & (F.col("hi") < F.col("n_frames"))
     j = j.withColumn("frame_idx", F.when(one, F.col("frame_id") - 1).when(zero, F.col("frame_id")).otherwise(r))
-    spine = clips.where("n_frames > 0").select(clip, F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1)).cast("bigint").alias("frame_idx"))
+    spine = clips.where("n_frames > 0").select(clip, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_frames").cast("bigint") - 1)).alias("frame_idx"))
     return spine.join(j.select(clip, "frame_idx", "joints"), [clip, "frame_idx"], "left")
 
 

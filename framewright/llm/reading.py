@@ -29,32 +29,25 @@ def prose_text(text: Column) -> Column:
     return F.regexp_replace(t, r"\S*[/_\\=\d]\S*", " ")
 
 
-def is_english_prose(text: Column, words: Column) -> Column:
-    """Not a data object (two keys or more), not a log (three assignments or more), and not in German or Spanish, by its words.
+def is_prose(text: Column) -> Column:
+    """Not a data object (two keys or more) and not a log (three assignments or more)."""
+    return (F.regexp_count(text, F.lit(r'"\w+"\s*:')) < 2) & (F.regexp_count(text, F.lit(r"\b\w+=\S+")) < 3)
 
-    The ``lang`` column is not consulted: it is null or spelled in several ways, and the words decide.
-    """
-    keys = F.regexp_count(text, F.lit(r'"\w+"\s*:'))
-    sets = F.regexp_count(text, F.lit(r"\b\w+=\S+"))
+
+def is_english(words: Column) -> Column:
+    """Not in German or Spanish, by its words. The ``lang`` column is not consulted: it is null or spelled in several ways."""
     of = lambda ws: F.size(F.filter(words, lambda w: w.isin(ws)))
-    n = F.size(words)
-    return (n > 0) & (keys < 2) & (sets < 3) & (of(GERMAN) < 0.12 * n) & (of(SPANISH) < 0.12 * n)
+    return (of(GERMAN) < 0.12 * F.size(words)) & (of(SPANISH) < 0.12 * F.size(words))
 
 
 def prose_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id, words`` and the sentence features of documents in English prose, partitioned by document."""
-    d = documents.where("text is not null and doc_id is not null").select("doc_id", "text", prose_text(F.col("text")).alias("clean"))
-    d = d.withColumn("words", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}+"), F.lit(0)))
-    d = d.where(is_english_prose(F.col("text"), F.col("words")))
-    n = F.size("words").cast("double")
+    """``doc_id, words, n`` and the sentence features of documents in English prose; a repeated id counts once."""
+    d = documents.where("text is not null and doc_id is not null").where(is_prose(F.col("text"))).select("doc_id", prose_text(F.col("text")).alias("clean"))
+    d = d.select("doc_id", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}+"), F.lit(0)).alias("words"))
+    d = d.where((F.size("words") > 0) & is_english(F.col("words")))
     sentences = F.greatest(F.regexp_count("clean", F.lit(r"[.!?;:]+(\s|$)|\n+\s*\S")), F.lit(1))
-    share = lambda cond: F.size(F.filter("words", cond)) / n
-    return d.select(
-        "doc_id", "words", n.alias("n"),
-        F.ln(n / sentences).alias("words_per_sentence"), (F.regexp_count("clean", F.lit(",")) / sentences).alias("commas_per_sentence"),
-        share(lambda w: w.isin(CLAUSE_WORDS)).alias("clause_share"), (F.length(F.array_join("words", "")) / n).alias("word_length"),
-        share(lambda w: w.rlike(DERIVED)).alias("derived_share"), share(lambda w: w.isin("the", "a")).alias("article_share"),
-    )
+    d = d.select("doc_id", "words", F.size("words").cast("double").alias("n"), F.ln(F.size("words") / sentences).alias("words_per_sentence"), (F.regexp_count("clean", F.lit(",")) / sentences).alias("commas_per_sentence"))
+    return d.dropDuplicates(["doc_id"])
 
 
 def word_ranks(counts: DataFrame) -> DataFrame:
@@ -68,29 +61,36 @@ def word_ranks(counts: DataFrame) -> DataFrame:
     return counts.join(ranks, "cnt").select("word", "rank")
 
 
-def coverage_ranks(docs: DataFrame) -> DataFrame:
-    """Per document the size of the smallest frequency-ranked vocabulary that covers each of SHARES of its words (``c50`` .. as logs).
+def word_features(ranks: DataFrame) -> DataFrame:
+    """Ranked words with what the sentence measures need of them, once per word instead of once per use."""
+    w = F.col("word")
+    bit = lambda c: c.cast("int")
+    return ranks.select("word", "rank", bit(w.isin(CLAUSE_WORDS)).alias("clause"), bit(w.rlike(DERIVED)).alias("derived"), bit(w.isin("the", "a")).alias("article"), F.length("word").alias("len"))
+
+
+def document_features(documents: DataFrame) -> DataFrame:
+    """``doc_id, n`` and FEATURES of each document in English prose.
 
+    ``c50 ..`` are logs of the size of the smallest frequency-ranked vocabulary that covers each of SHARES of a document's words.
     Frequent words meet their rank by a broadcast of at most HEAD words, so a word that is in every document moves nothing; the
-    others, none of them frequent, by a shuffle.
+    others, none of them frequent, by a shuffle. All else stays partitioned by document.
     """
+    docs = checkpointed(prose_documents(documents))
     pairs = checkpointed(docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("c")))
-    ranks = checkpointed(word_ranks(pairs.groupBy("word").agg(F.sum("c").alias("cnt"))))
-    head = F.broadcast(ranks.where(F.col("rank") <= HEAD))
-    near = pairs.join(head, "word", "left")
-    ranked = near.where("rank is not null").select("doc_id", "rank", "c")
+    ranks = checkpointed(word_features(word_ranks(pairs.groupBy("word").agg(F.sum("c").alias("cnt")))))
+    near = pairs.join(F.broadcast(ranks.where(F.col("rank") <= HEAD)), "word", "left")
+    ranked = near.where("rank is not null")
     if ranks.where(F.col("rank") > HEAD).limit(1).count():
-        tail = near.where("rank is null").select("doc_id", "word", "c").join(ranks.where(F.col("rank") > HEAD), "word")
-        ranked = ranked.unionByName(tail.select("doc_id", "rank", "c"))
+        tail = near.where("rank is null").select(*pairs.columns).join(ranks.where(F.col("rank") > HEAD), "word")
+        ranked = ranked.unionByName(tail)
     w = Window.partitionBy("doc_id")
-    run = ranked.withColumn("cum", F.sum("c").over(w.orderBy("rank"))).withColumn("all", F.sum("c").over(w))
-    return run.groupBy("doc_id").agg(*[F.ln(F.min(F.when(F.col("cum") >= F.col("all") * p, F.col("rank")))).alias(f"c{round(p * 100)}") for p in SHARES])
-
-
-def document_features(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and FEATURES of each document in English prose."""
-    docs = checkpointed(prose_documents(documents).dropDuplicates(["doc_id"]))
-    return docs.drop("words").join(coverage_ranks(docs), "doc_id").select("doc_id", "n", *FEATURES)
+    run = ranked.withColumn("cum", F.sum("c").over(w.orderBy("rank"))).withColumn("n", F.sum("c").over(w))
+    share = lambda c: F.sum(F.col(c) * F.col("c")) / F.max("n")
+    per = run.groupBy("doc_id").agg(
+        *[F.ln(F.min(F.when(F.col("cum") >= F.col("n") * p, F.col("rank")))).alias(f"c{round(p * 100)}") for p in SHARES],
+        share("clause").alias("clause_share"), share("len").alias("word_length"), share("derived").alias("derived_share"), share("article").alias("article_share"),
+    )
+    return docs.drop("words").join(per, "doc_id").select("doc_id", "n", *FEATURES)
 
 
 def calibration(features: DataFrame, labels: DataFrame, ridge: float = 1.0) -> Column | None:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.tokens import RANKS, sized
+from framewright.llm.tokens import RANKS, token_counter
 from framewright.session import checkpointed
 
 
@@ -157,7 +157,7 @@ def fill_containers(documents: DataFrame, specs: DataFrame, path: str = RANKS, b
     Blocks of about ``block`` items, hashed, are filled side by side; what lies in containers under ``full`` is filled
     again in fewer blocks until one block holds it, so only the last container of all is left partly empty.
     """
-    docs = checkpointed(sized(documents, path).select("doc_id", "n_tokens"))
+    docs = checkpointed(documents.select("doc_id", token_counter(path)(F.col("text")).alias("n_tokens")))
     spec = specs.where("capacity_tokens > 0").select("spec_id", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"))
     if spec.count() > 1000:
         raise ValueError("more than 1000 container specs")

@@ -250,7 +250,7 @@ _JL = ", ".join(f"nullif(trim(json_extract_string(j, '$.language_instructions.le
 
 
 @query(
-    f"""with c as (select doc_id, {_JT} as t from documents where doc_type = 'raw_response' and text is not null),
+    rf"""with c as (select doc_id, {_JT} as t from documents where doc_type = 'raw_response' and text is not null),
 j as (select doc_id, case when json_valid(t) then t::json when json_valid(regexp_extract(t, '(?s)\{{.*\}}')) then regexp_extract(t, '(?s)\{{.*\}}')::json end as j from c), k as (select doc_id, j, lower(trim(json_extract_string(j, '$.status'))) = 'invalid' as bad, list_filter([{_JL}], lambda x: x is not null) as ls from j)
 select doc_id, case when coalesce(bad, false) then 'Invalid' else 'Valid' end as status, (not coalesce(bad, false) and coalesce(cast(json_extract(j, '$.is_good_quality') as boolean), false)) as is_good_quality,
 case when coalesce(bad, false) then 0 else len(ls) end as instruction_num,

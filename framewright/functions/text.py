@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from framewright.functions.geometry import let
+
 LEVELS = ("level1", "level2", "level3", "level4", "level5")
 #: Fields of a frame sample and the file suffixes they are stored under.
 SAMPLE_FIELDS = {"image": "image.jpg", "lowdim": "lowdim.npy", "mano": "mano.npy", "depth": "depth.png", "meta": "meta.json"}
@@ -109,8 +111,7 @@ def json_text(raw: Column) -> Column:
 
 def model_json(raw: Column) -> Column:
     """The answer as a VARIANT: all of it, else from its first brace to its last; null if neither is JSON."""
-    t = json_text(raw)
-    return F.coalesce(F.try_parse_json(t), F.try_parse_json(_found(t, r"(?s)(\{.*\})")))
+    return let(json_text(raw), lambda t: F.coalesce(F.try_parse_json(t), F.try_parse_json(_found(t, r"(?s)(\{.*\})"))))
 
 
 def _text_at(v: Column, *paths: str) -> Column:
@@ -133,14 +134,22 @@ def annotation_payload(raw: Column) -> Column:
 
     Only "invalid", in any case, is invalid; then quality and levels are dropped. The language line is level 5, else 2, else the last.
     """
-    v = model_json(raw)
-    bad = F.lower(stripped(_text_at(v, "$.status", "$.segments.status"))) == "invalid"
-    ok = ~F.coalesce(bad, F.lit(False))
-    good = F.coalesce(F.try_variant_get(v, "$.is_good_quality", "boolean"), F.try_variant_get(v, "$.segments.is_good_quality", "boolean"), F.lit(False))
-    levels = F.when(ok, F.coalesce(answer_levels(v), F.create_map().cast("map<string,string>"))).otherwise(F.create_map().cast("map<string,string>"))
-    ins = F.filter(F.array(*[F.try_element_at(levels, F.lit(k)) for k in LEVELS]), lambda x: x.isNotNull())
-    lang = F.coalesce(F.try_element_at(levels, F.lit("level5")), F.try_element_at(levels, F.lit("level2")), F.try_element_at(ins, F.lit(-1)))
-    return F.struct(F.when(ok, "Valid").otherwise("Invalid").alias("status"), (ok & good).alias("is_good_quality"), ins.alias("instruction"), F.size(ins).alias("instruction_num"), lang.alias("language"), levels.alias("levels"))
+    none = F.create_map().cast("map<string,string>")
+
+    def parsed(v: Column) -> Column:
+        bad = F.lower(stripped(_text_at(v, "$.status", "$.segments.status"))) == "invalid"
+        good = F.coalesce(F.try_variant_get(v, "$.is_good_quality", "boolean"), F.try_variant_get(v, "$.segments.is_good_quality", "boolean"), F.lit(False))
+        return F.struct((~F.coalesce(bad, F.lit(False))).alias("ok"), good.alias("good"), answer_levels(v).alias("levels"))
+
+    def with_levels(p: Column) -> Column:
+        return let(F.when(p["ok"], F.coalesce(p["levels"], none)).otherwise(none), lambda m: with_text(p, m))
+
+    def with_text(p: Column, m: Column) -> Column:
+        at = lambda k: F.try_element_at(m, F.lit(k))
+        ins = F.filter(F.array(*[at(k) for k in LEVELS]), lambda x: x.isNotNull())
+        return let(ins, lambda i: F.struct(F.when(p["ok"], "Valid").otherwise("Invalid").alias("status"), (p["ok"] & p["good"]).alias("is_good_quality"), i.alias("instruction"), F.size(i).alias("instruction_num"), F.coalesce(at("level5"), at("level2"), F.try_element_at(i, F.lit(-1))).alias("language"), m.alias("levels")))
+
+    return let(let(model_json(raw), parsed), with_levels)
 
 
 def segments(raw: Column) -> Column:

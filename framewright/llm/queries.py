@@ -13,7 +13,7 @@ def _assigned(s, d):
 
 
 def _levels(s, d):
-    return reading.reading_levels(load(s, d, "documents"), load(s, d, "doc_labels"))
+    return reading.text_levels(load(s, d, "documents"), load(s, d, "doc_labels"))
 
 
 def _drawn(s, d):
@@ -33,7 +33,7 @@ QUERIES = {
     "p7_fill_report": lambda s, d: containers.fill_report(containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs"))),
     "p8_draw": _drawn,
     "p8_shares": lambda s, d: mixing.shares(checkpointed(_drawn(s, d)), load(s, d, "mix_targets")),
-    "p9_found": lambda s, d: reading.demanding(_levels(s, d)),
+    "p9_found": lambda s, d: reading.demanding(_levels(s, d).where("is_english_prose")),
     "p9_levels": _levels,
     "p9_profile": lambda s, d: reading.profile(load(s, d, "documents"), checkpointed(_levels(s, d))),
 }

@@ -18,6 +18,8 @@ DERIVED = r"^.{3,}(tion|sion|ment|ity|ness|ance|ence|ism|ology|ic|ical|ous|ive|l
 SHARES = (0.5, 0.8, 0.95)
 #: Most words of the head of the vocabulary, which is broadcast; only these can be frequent.
 HEAD = 65_536
+#: Shares of a text's length from which it is a data object or a log. At sf0.1 all data objects and logs lie above twice these, and prose at 0.
+KEYS, ASSIGNMENTS = 0.05, 0.3
 FEATURES = ("c50", "c80", "c95", "words_per_sentence", "commas_per_sentence", "clause_share", "word_length", "derived_share", "article_share")
 
 
@@ -30,8 +32,10 @@ def prose_text(text: Column) -> Column:
 
 
 def is_prose(text: Column) -> Column:
-    """Not a data object (two keys or more) and not a log (three assignments or more)."""
-    return (F.regexp_count(text, F.lit(r'"\w+"\s*:')) < 2) & (F.regexp_count(text, F.lit(r"\b\w+=\S+")) < 3)
+    """Not a data object (keys are KEYS or more of its length) and not a log (assignments are ASSIGNMENTS or more); markup does not count."""
+    t = F.regexp_replace(text, r"<[^<>]{1,200}>", " ")
+    share = lambda of: 1 - F.length(F.regexp_replace(t, of, "")) / F.greatest(F.length(t), F.lit(1))
+    return (share(r'"\w++"\s*+:') < KEYS) & (share(r"\b\w++=\S++") < ASSIGNMENTS)
 
 
 def is_english(words: Column) -> Column:
@@ -40,13 +44,17 @@ def is_english(words: Column) -> Column:
     return (of(GERMAN) < 0.12 * F.size(words)) & (of(SPANISH) < 0.12 * F.size(words))
 
 
-def prose_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id, words, n`` and the sentence features of documents in English prose; a repeated id counts once."""
-    d = documents.where("text is not null and doc_id is not null").where(is_prose(F.col("text"))).select("doc_id", prose_text(F.col("text")).alias("clean"))
-    d = d.select("doc_id", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}+"), F.lit(0)).alias("words"))
-    d = d.where((F.size("words") > 0) & is_english(F.col("words")))
+def measured_documents(documents: DataFrame) -> DataFrame:
+    """``doc_id, is_english_prose, words, n`` and the sentence features of every text with words; a repeated id counts once.
+
+    A text that has words only in what ``prose_text`` takes out (a log of assignments, say) is measured as it stands.
+    """
+    d = documents.where("text is not null and doc_id is not null").select("doc_id", "text", prose_text(F.col("text")).alias("clean"))
+    d = d.select("doc_id", is_prose(F.col("text")).alias("prose"), F.when(F.col("clean").rlike(r"\p{L}"), F.col("clean")).otherwise(F.col("text")).alias("clean"))
+    d = d.select("doc_id", "prose", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}+"), F.lit(0)).alias("words"))
+    d = d.where(F.size("words") > 0)
     sentences = F.greatest(F.regexp_count("clean", F.lit(r"[.!?;:]+(\s|$)|\n+\s*\S")), F.lit(1))
-    d = d.select("doc_id", "words", F.size("words").cast("double").alias("n"), F.ln(F.size("words") / sentences).alias("words_per_sentence"), (F.regexp_count("clean", F.lit(",")) / sentences).alias("commas_per_sentence"))
+    d = d.select("doc_id", (F.col("prose") & is_english(F.col("words"))).alias("is_english_prose"), "words", F.size("words").cast("double").alias("n"), F.ln(F.size("words") / sentences).alias("words_per_sentence"), (F.regexp_count("clean", F.lit(",")) / sentences).alias("commas_per_sentence"))
     return d.dropDuplicates(["doc_id"])
 
 
@@ -69,13 +77,13 @@ def word_features(ranks: DataFrame) -> DataFrame:
 
 
 def document_features(documents: DataFrame) -> DataFrame:
-    """``doc_id, n`` and FEATURES of each document in English prose.
+    """``doc_id, n, is_english_prose`` and FEATURES of each text with words.
 
     ``c50 ..`` are logs of the size of the smallest frequency-ranked vocabulary that covers each of SHARES of a document's words.
     Frequent words meet their rank by a broadcast of at most HEAD words, so a word that is in every document moves nothing; the
     others, none of them frequent, by a shuffle. All else stays partitioned by document.
     """
-    docs = checkpointed(prose_documents(documents))
+    docs = checkpointed(measured_documents(documents))
     pairs = checkpointed(docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("c")))
     ranks = checkpointed(word_features(word_ranks(pairs.groupBy("word").agg(F.sum("c").alias("cnt")))))
     near = pairs.join(F.broadcast(ranks.where(F.col("rank") <= HEAD)), "word", "left")
@@ -90,17 +98,17 @@ def document_features(documents: DataFrame) -> DataFrame:
         *[F.ln(F.min(F.when(F.col("cum") >= F.col("n") * p, F.col("rank")))).alias(f"c{round(p * 100)}") for p in SHARES],
         share("clause").alias("clause_share"), share("len").alias("word_length"), share("derived").alias("derived_share"), share("article").alias("article_share"),
     )
-    return docs.drop("words").join(per, "doc_id").select("doc_id", "n", *FEATURES)
+    return docs.drop("words").join(per, "doc_id").select("doc_id", "n", "is_english_prose", *FEATURES)
 
 
 def calibration(features: DataFrame, labels: DataFrame, ridge: float = 1.0) -> Column | None:
     """The level as a linear expression of the features, by ridge regression on the mean rating of each rated document.
 
-    All rated documents take part: sums of products come from one aggregation, and the normal equations of ten unknowns are solved
-    on the driver. None without any rated document.
+    All rated documents in English prose take part: sums of products come from one aggregation, and the normal equations of ten unknowns are solved
+    on the driver. None without any such document.
     """
     rated = labels.where("reading_level between 1 and 5").groupBy("doc_id").agg(F.avg("reading_level").alias("y"))
-    x = features.join(rated, "doc_id")
+    x = features.where("is_english_prose").join(rated, "doc_id")
     cols = [F.lit(1.0), *[F.col(c) for c in FEATURES]]
     k = len(cols)
     sums = [F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)] + [F.sum(c * F.col("y")).alias(f"y{i}") for i, c in enumerate(cols)]
@@ -125,15 +133,20 @@ def calibration(features: DataFrame, labels: DataFrame, ridge: float = 1.0) -> C
     return F.least(F.greatest(level, F.lit(1.0)), F.lit(5.0))
 
 
-def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, level`` (1 to 5, continuous), ``coverage_rank`` (at 95 % of the words) and ``words_per_sentence``.
+def text_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, level`` (1 to 5, continuous), ``coverage_rank`` (at 95 % of the words), ``words_per_sentence`` and ``is_english_prose``.
 
-    Documents that are not English prose (null, blank or without words, data objects, logs, German, Spanish) have no row. A repeated
-    ``doc_id`` counts once. Without ratings the level is null.
+    Every text with words has a row. The ratings are of English prose, so elsewhere (data objects, logs, German, Spanish) the level
+    carries their measures on and is the less sure. A repeated ``doc_id`` counts once. Without ratings the level is null.
     """
     f = checkpointed(document_features(documents))
     level = calibration(f, labels)
-    return f.select("doc_id", (level if level is not None else F.lit(None).cast("double")).alias("level"), F.round(F.exp("c95")).cast("bigint").alias("coverage_rank"), F.round(F.exp("words_per_sentence"), 4).alias("words_per_sentence"))
+    return f.select("doc_id", (level if level is not None else F.lit(None).cast("double")).alias("level"), F.round(F.exp("c95")).cast("bigint").alias("coverage_rank"), F.round(F.exp("words_per_sentence"), 4).alias("words_per_sentence"), "is_english_prose")
+
+
+def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``text_levels`` in English prose, which the ratings speak for."""
+    return text_levels(documents, labels).where("is_english_prose").drop("is_english_prose")
 
 
 def demanding(levels: DataFrame, least: int = 4) -> DataFrame:
@@ -142,7 +155,7 @@ def demanding(levels: DataFrame, least: int = 4) -> DataFrame:
 
 
 def profile(documents: DataFrame, levels: DataFrame) -> DataFrame:
-    """Documents by source and nearest level, and their mean coverage rank."""
+    """Documents by source and nearest level, and their mean coverage rank. Texts without words count at a null level."""
     s = F.lower(F.trim("source"))
-    d = documents.select("doc_id", F.when(s != "", s).alias("source")).join(levels, "doc_id")
+    d = documents.select("doc_id", F.when(s != "", s).alias("source")).join(levels, "doc_id", "left")
     return d.groupBy("source", F.round("level").cast("int").alias("reading_level")).agg(F.count("*").alias("documents"), F.round(F.avg("coverage_rank"), 2).alias("mean_coverage_rank"))

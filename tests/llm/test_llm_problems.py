@@ -231,6 +231,18 @@ def test_reading_level(spark):
     assert {r.doc_id for r in reading.reading_levels(odd, labels).collect()} == {7, 8}
 
 
+def test_every_text_has_a_level(spark):
+    labels = spark.createDataFrame([(1, 2), (2, 4)], "doc_id bigint, reading_level int")
+    note = "The lens was moved to fps=30 and then to gain=2 with iso=100, since the hand that held the cup was hard to see in the first clip. " * 5
+    rows = [(1, "Put the cup down. Put it here."), (2, note), (3, '<a id="x" class=y href=z>Put the cup down.</a>'), (4, '{"a": 1, "b": "Put it"}'), (5, "k=1 l=2 m=3"), (6, "Die Kamera ist gut und der Griff ist nicht zu sehen"), (7, "..."), (8, None)]
+    docs = spark.createDataFrame([(*r, "S ") for r in rows], "doc_id bigint, text string, source string")
+    got = reading.text_levels(docs, labels)
+    assert {r.doc_id: r.is_english_prose for r in got.collect()} == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False}
+    assert got.where("level between 1 and 5").count() == 6
+    p = reading.profile(docs, got).collect()
+    assert sum(r.documents for r in p) == 8 and sum(r.documents for r in p if r.reading_level is None) == 2
+
+
 def test_coverage_rank(spark):
     d = spark.createDataFrame([(1, "a a a a a a b b c d"), (2, "a b")], "doc_id bigint, text string")
     r = {x.doc_id: [round(math.exp(x[c])) for c in ("c50", "c80", "c95")] for x in reading.document_features(d).collect()}

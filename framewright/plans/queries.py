@@ -436,6 +436,13 @@ def chained_correction(s, d):
     return windows.chained_correction(x, "clip", "f", "r", F.col("value").between(5, 200)).select("clip", "f", F.round("correction", 3).alias("correction"))
 
 
+@query(f"with {EV} select clip, f, round(sum(case when value between 5 and 200 then ln(value / 50) else 0 end) over (partition by clip order by f), 6) as log_correction from ev")
+def chained_correction_all(s, d):
+    """All chunks of every clip, where ``chained_correction`` takes the first six; as a logarithm, since a long product loses its decimals."""
+    x = frames(s, d).withColumn("r", F.col("value") / 50)
+    return windows.chained_correction(x, "clip", "f", "r", F.col("value").between(5, 200)).select("clip", "f", F.round(F.ln("correction"), 6).alias("log_correction"))
+
+
 @query(f"with {EV} select clip, f, coalesce(max(case when event_type = 'view' then f end) over (partition by clip order by f), min(f) over (partition by clip)) as window_start from ev")
 def fill_window_start(s, d):
     return windows.fill_window_start(frames(s, d), ["clip"], "f", F.col("event_type") == "view").select("clip", "f", "window_start")

@@ -654,6 +654,14 @@ def required_and_hard_sets(s, d):
     return t.select("user_id", F.array_join(F.array_sort(F.array_except(lits("view", "purchase", "refund"), "t")), ",").alias("missing"), F.size(F.array_intersect("t", lits("error", "signup"))).alias("hard"))
 
 
+@query("select user_id, array_to_string(list_sort(list_filter(['view', 'purchase', 'refund'], lambda x: not list_contains(t, x))), ',') as missing, len(list_filter(['error', 'signup'], lambda x: list_contains(t, x))) as hard from (select user_id, coalesce(list(distinct event_type) filter (event_type is not null), []) as t from events group by user_id)")
+def required_and_hard_sets_all(s, d):
+    """The sets over all events, where ``required_and_hard_sets`` takes every third id."""
+    t = load(s, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("t"))
+    lits = lambda *xs: F.array(*[F.lit(x) for x in xs])
+    return t.select("user_id", F.array_join(F.array_sort(F.array_except(lits("view", "purchase", "refund"), "t")), ",").alias("missing"), F.size(F.array_intersect("t", lits("error", "signup"))).alias("hard"))
+
+
 @query("select user_id, list_sort(list(distinct event_type) filter (event_id % 2 = 0)) = list_sort(list(distinct event_type) filter (event_id % 2 = 1)) as equal from events group by user_id")
 def set_equality(s, d):
     e = load(s, d, "events")

@@ -20,3 +20,10 @@ def test_chained_correction_takes_every_chunk(spark):
     got = {(r.clip, r.f): r.log_correction for r in core.QUERIES["chained_correction_all"](spark, d).collect()}
     assert cut and got.keys() == want.keys()
     assert all(abs(got[k] - x) < 1e-5 for k, x in want.items())
+
+
+def test_sets_hold_every_event(spark, tmp_path):
+    rows = [(1, 7, "view"), (2, 7, "purchase"), (3, 7, "refund"), (4, 7, "error"), (5, 8, "signup"), (7, 8, "error"), (9, 9, None)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(r) for r in core.QUERIES["required_and_hard_sets_all"](spark, str(tmp_path)).collect()}
+    assert got == {(7, "", 1), (8, "purchase,refund,view", 2), (9, "purchase,refund,view", 0)}

@@ -32,37 +32,30 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, nodes: int) -> list[tuple[int, list[int]]]:
     """Up to ``width`` fillings of ``room`` by least waste, ``(waste, sizes)``; ``kinds`` ascending with ``left`` of each.
 
-    Depth first with the largest first, so of fillings of equal waste the first found has the largest items: it dominates those
-    that split an item up. Only maximal fillings count, and a branch ends once ``nodes`` were visited.
+    Depth first with the largest first and as many of a size as fit, so of fillings of equal waste the first found has the largest
+    items: it dominates those that split an item up. Only maximal fillings count, and the search ends once ``nodes`` were visited.
     """
     found: dict[int, list[int]] = {}
-    seen = 0
-
-    def go(top: int, room: int, chosen: list[int]) -> bool:
-        nonlocal seen
+    taken: list[tuple[int, int]] = []  # (index in kinds, how many), indices falling
+    top, seen = len(kinds), 0
+    while True:
+        while top := bisect.bisect_right(kinds, room, 0, top):
+            top -= 1
+            if n := min(left[kinds[top]], room // kinds[top]):
+                taken.append((top, n))
+                room -= n * kinds[top]
+                seen += 1
+        if room not in found:
+            used = dict(taken)
+            if all(left[kinds[i]] <= used.get(i, 0) for i in range(bisect.bisect_right(kinds, room))):
+                found[room] = [kinds[i] for i, n in taken for _ in range(n)]
+        if not taken or seen >= nodes or (0 in found and len(found) >= width):
+            return sorted(found.items())[:width] or [(room, [])]
+        top, n = taken.pop()  # one less of the smallest, then smaller ones in its room
+        room += kinds[top]
         seen += 1
-        i = bisect.bisect_right(kinds, room, 0, top)
-        any_fit = False
-        while i > 0:
-            s = kinds[i - 1]
-            if left[s] > 0:
-                any_fit = True
-                left[s] -= 1
-                chosen.append(s)
-                done = go(i, room - s, chosen)
-                chosen.pop()
-                left[s] += 1
-                if done:
-                    return True
-            i -= 1
-            if seen >= nodes:
-                break
-        if not any_fit and room not in found:
-            found[room] = list(chosen)
-        return (room == 0 and not any_fit and width == 1) or seen >= nodes or (0 in found and len(found) >= width)
-
-    go(len(kinds), room, [])
-    return sorted(found.items())[:width] or [(room, [])]
+        if n > 1:
+            taken.append((top, n - 1))
 
 
 def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int = 120, budget: int = 4_000) -> list[list[int]]:
@@ -77,6 +70,8 @@ def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int =
     best = best_fit(sizes, capacity)
     total = sum(sizes)
     bound = -(-total // capacity)
+    if len(best) <= bound:
+        return best
     left: dict[int, int] = {}
     for s in sizes:
         left[s] = left.get(s, 0) + 1
@@ -147,7 +142,7 @@ def packer(turn: int, cols: list[str]):
     return pack
 
 
-def fill_containers(documents: DataFrame, specs: DataFrame, path: str = RANKS, block: int = 2_000, full: float = 0.97) -> DataFrame:
+def fill_containers(documents: DataFrame, specs: DataFrame, path: str = RANKS, block: int = 2_000, full: float = 0.97, most: int = 50_000) -> DataFrame:
     """Container and place of each text for each capacity.
 
     ``spec_id, capacity_tokens, doc_id, part, start_token, n_tokens, container, place``. A text over the capacity is cut
@@ -155,7 +150,9 @@ def fill_containers(documents: DataFrame, specs: DataFrame, path: str = RANKS, b
     without a positive capacity are dropped. Repeated texts are placed each.
 
     Blocks of about ``block`` items, hashed, are filled side by side; what lies in containers under ``full`` is filled
-    again in fewer blocks until one block holds it, so only the last container of all is left partly empty.
+    again in fewer blocks, of about ``most`` items at most, until one block holds it or a turn frees no container (of a thousand
+    or more, not one in a thousand). A turn that frees none is dropped and the containers before it stay. So of each spec about
+    one container a block of the last turn is left partly empty, unless the sizes allow no better.
     """
     docs = checkpointed(documents.select("doc_id", token_counter(path)(F.col("text")).alias("n_tokens")))
     spec = specs.where("capacity_tokens > 0").select("spec_id", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens"))
@@ -174,20 +171,29 @@ def fill_containers(documents: DataFrame, specs: DataFrame, path: str = RANKS, b
     schema = schema.replace("spec_id int", f"spec_id {specs_t['spec_id']}").replace("doc_id bigint", f"doc_id {specs_t['doc_id']}")
     cols = [x.split()[0] for x in schema.split(", ")]
     done: list[DataFrame] = [whole]
-    turn = 0
+    turn, held, kept = 0, 0, None
     while True:
         blocks = max(1, -(-count // block))
 
         packed = items.withColumn("b", F.pmod(F.xxhash64("doc_id", "part", F.lit(turn)), F.lit(blocks))).groupBy("spec_id", "b").applyInPandas(packer(turn, cols), schema)
-        if blocks == 1:
+        if blocks == 1 and kept is None:
             done.append(packed.drop("fill"))
             break
         packed = checkpointed(packed)
+        if kept is not None:
+            made = packed.where("place = 0").count()
+            if made >= held - (0 if blocks == 1 else held // 1000):
+                done.append((packed if made < held else kept).drop("fill"))
+                break
+            if blocks == 1:
+                done.append(packed.drop("fill"))
+                break
         done.append(packed.where(F.col("fill") >= full).drop("fill"))
-        items = packed.where(F.col("fill") < full).drop("container", "place", "fill")
-        before, count = count, items.groupBy("spec_id").count().agg(F.max("count")).first()[0] or 0
-        block = max(block, -(-count // max(1, blocks // 8)))  # fewer blocks each turn, whatever the fill
-        block = min(block, 50_000) if count > before * 0.9 else block
+        kept = packed.where(F.col("fill") < full)
+        items = kept.drop("container", "place", "fill")
+        held = kept.where("place = 0").count()
+        count = items.groupBy("spec_id").count().agg(F.max("count")).first()[0] or 0
+        block = max(block, min(most, -(-count // max(1, blocks // 8))))  # fewer blocks each turn, whatever the fill
         turn += 1
     empty = all_.where("n_tokens = 0").select("spec_id", "capacity_tokens", "doc_id", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("start_token"), "n_tokens", F.lit(None).cast("string").alias("container"), F.lit(None).cast("bigint").alias("place"))
     out = empty

@@ -201,6 +201,21 @@ def test_containers(spark):
     assert containers.fill_containers(docs.where("false"), spec).count() == 0
 
 
+def test_fillings_of_many_items():
+    assert containers.fillings([1], {1: 5_000}, 5_000, 3, 120) == [(0, [1] * 5_000)]
+    assert containers.fillings([2, 3], {2: 4, 3: 2}, 7, 3, 120) == [(0, [3, 2, 2]), (1, [3, 3])]
+    b = containers.complete_bins([1] * 4_999 + [2_001] * 3, 4_000)
+    assert len(b) == 3 and sorted(x for y in b for x in y) == [1] * 4_999 + [2_001] * 3
+
+
+def test_refill_ends_where_no_container_is_freed(spark):
+    docs = spark.createDataFrame([(i, "word " * 300) for i in range(60)], "doc_id bigint, text string")
+    spec = spark.createDataFrame([(1, 512)], "spec_id int, capacity_tokens int")
+    got = containers.fill_containers(docs, spec, block=10, most=20).collect()
+    assert sorted(x.doc_id for x in got) == list(range(60)) and len({x.container for x in got}) == 60
+    assert len({x.container.rsplit("-", 1)[0] for x in got}) > 1  # more than one block
+
+
 def test_mix(spark):
     r = random.Random(5)
     rows = [(i, r.choice(["big", " BIG ", "small", None, "other"]) if i > 40 else "big", None if i % 97 == 0 else f"text {i} " * r.randint(1, 30), "x", 2) for i in range(900)]

@@ -25,14 +25,15 @@ def source_texts(documents: DataFrame, path: str = RANKS) -> DataFrame:
 def budgets(texts: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
     """Per source of ``targets``: ``source, target_share, max_repeats, available, budget`` in tokens.
 
-    Without ``total`` the draw is the largest in which every source that has text keeps its share. With it, a source's budget
+    Without ``total`` the draw is the largest in which every source that has text and may be used keeps its share; a source whose
+    ``max_repeats`` is 0, negative or null may not be used, and like one without text it does not hold the others back. With it, a source's budget
     ends at ``max_repeats`` times its text, and its share falls short.
     """
     have = texts.groupBy("source").agg(F.sum("n_tokens").alias("available"))
-    t = targets.select(source_name(F.col("source")).alias("source"), F.greatest("target_share", F.lit(0.0)).alias("target_share"), F.greatest("max_repeats", F.lit(0)).alias("max_repeats")).where("source is not null")
+    t = targets.select(source_name(F.col("source")).alias("source"), F.greatest("target_share", F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).alias("max_repeats")).where("source is not null")
     t = t.join(have, "source", "left").withColumn("available", F.coalesce("available", F.lit(0)))
     most = F.col("available") * F.col("max_repeats")
-    size = F.lit(float(total)) if total is not None else F.min(F.when((F.col("target_share") > 0) & (F.col("available") > 0), most / F.col("target_share"))).over(Window.partitionBy(F.lit(0)))
+    size = F.lit(float(total)) if total is not None else F.min(F.when((F.col("target_share") > 0) & (most > 0), most / F.col("target_share"))).over(Window.partitionBy(F.lit(0)))
     return t.withColumn("budget", F.least(F.coalesce(F.floor(F.col("target_share") * size + 1e-6), F.lit(0)), most))
 
 
@@ -91,7 +92,8 @@ def mix(documents: DataFrame, targets: DataFrame, total: int | None = None, path
 
 
 def shares(drawn: DataFrame, targets: DataFrame) -> DataFrame:
-    """Shares really reached per source: ``source, target_share, texts, tokens, most_copies, share``."""
+    """Shares really reached per source: ``source, target_share, texts, tokens, most_copies, share, shortfall`` (of the share, at least 0)."""
     got = drawn.groupBy("source").agg(F.count("*").alias("texts"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"))
     t = targets.select(source_name(F.col("source")).alias("source"), "target_share").join(got, "source", "left").na.fill(0, ["texts", "tokens", "most_copies"])
-    return t.withColumn("share", F.round(F.col("tokens") / F.greatest(F.sum("tokens").over(Window.partitionBy(F.lit(0))), F.lit(1)), 6))
+    t = t.withColumn("share", F.round(F.col("tokens") / F.greatest(F.sum("tokens").over(Window.partitionBy(F.lit(0))), F.lit(1)), 6))
+    return t.withColumn("shortfall", F.round(F.greatest(F.col("target_share") - F.col("share"), F.lit(0.0)), 6))

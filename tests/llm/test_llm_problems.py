@@ -234,6 +234,15 @@ def test_mix(spark):
     assert mixing.mix(docs.where("false"), tgt).count() == 0
 
 
+@pytest.mark.parametrize("never", [0, None, -1])
+def test_mix_with_a_source_that_may_not_be_used(spark, never):
+    docs = spark.createDataFrame([(i, "abc"[i % 3], f"text {i} " * 9) for i in range(300)], "doc_id bigint, source string, text string")
+    tgt = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, never)], "source string, target_share double, max_repeats int")
+    sh = {x.source: x for x in mixing.shares(mixing.mix(docs, tgt), tgt).collect()}
+    assert sh["c"].tokens == 0 and sh["c"].shortfall == 0.2 and sh["a"].shortfall == 0
+    assert abs(sh["a"].share - 5 / 8) < 0.02 and abs(sh["b"].share - 3 / 8) < 0.02 and sh["a"].texts == 100
+
+
 def test_reading_level(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/doc_labels.parquet")
     f = reading.document_features(docs).cache()

@@ -10,13 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.session import guarded_join
+from framewright.session import checkpointed, fits_broadcast, guarded_join, salted_join, written
 
 STEP_METRICS = ("max_hand_translation_step", "max_finger_translation_step", "max_camera_translation_step", "max_camera_rotation_step")
 #: Two rotation matrices differ by at most this in the Frobenius norm.
 MAX_ROTATION = 2 * math.sqrt(2)
 #: Log-value buckets: four to a factor of three, so that a gap of three times never hides inside one bucket.
 BUCKET = math.log(3.0) / 4
+#: Stands for the logarithm of an exact zero, below that of any positive number.
+NOTHING = -800.0
 
 
 def one_per_clip(df: DataFrame, columns: list[str], clip: str = "clip_id", order: str = "stat_id") -> DataFrame:
@@ -32,40 +34,46 @@ def _plausible(x: Column, limit: float | None) -> Column:
 
 
 def source_levels(df: DataFrame, source: str, metrics: dict[str, float | None]) -> DataFrame:
-    """Robust centre and scale of the log readings per source, one struct ``lv`` of doubles a source.
+    """Robust centre and scale of the log readings per source: ``source, __c0 .., __s0 ..``, two doubles a metric.
 
     From histograms of the log values (mergeable, map-side combined), so no source is ever sorted or gathered:
-    centre and quartiles are those of the bucket middles, scale is the interquartile range over 1.349.
+    centre and quartiles are those of the bucket middles, scale is the interquartile range over 1.349. A source most of whose readings
+    are exact zeros stands still: its centre is NOTHING, and any motion at all is far above it.
     """
     step = BUCKET / 4
+    cell = lambda c, lim: F.when(F.col(c) == 0, F.lit(NOTHING)).otherwise(_plausible(F.col(c), lim))
     cells = df.select(
         source,
-        F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.floor(_plausible(F.col(c), lim) / step).alias("b")) for i, (c, lim) in enumerate(metrics.items())])).alias("x"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.floor(cell(c, lim) / step).alias("b")) for i, (c, lim) in enumerate(metrics.items())])).alias("x"),
     ).where("x.b is not null")
-    hist = cells.groupBy(source, "x.m", "x.b").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(source, "m")
+    hist = cells.groupBy(source, "x.m", "x.b").agg(F.count("*").alias("n")).withColumn("zero", F.col("b") * step <= NOTHING)
+    w = Window.partitionBy(source, "m", "zero")
     cum = hist.withColumn("c", F.sum("n").over(w.orderBy("b"))).withColumn("t", F.sum("n").over(w))
-    at = lambda p: F.min(F.when(F.col("c") >= F.col("t") * p, (F.col("b") + 0.5) * step))
-    per = cum.groupBy(source, "m").agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
-    scale = F.greatest((F.col("q3") - F.col("q1")) / 1.349, F.lit(0.05))
-    return per.groupBy(source).agg(*[x for i in range(len(metrics)) for x in (F.max(F.when(F.col("m") == i, F.col("q2"))).alias(f"__c{i}"), F.max(F.when(F.col("m") == i, scale)).alias(f"__s{i}"))])
+    at = lambda p: F.min(F.when(~F.col("zero") & (F.col("c") >= F.col("t") * p), (F.col("b") + 0.5) * step))
+    per = cum.groupBy(source, "m").agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), F.coalesce(F.sum(F.when(F.col("zero"), F.col("n"))), F.lit(0)).alias("z"), F.sum("n").alias("n"))
+    still = F.col("z") * 2 > F.col("n")
+    per = per.select(source, "m", F.when(still, NOTHING).otherwise(F.col("q2")).alias("c"), F.when(still, 0.05).otherwise(F.greatest((F.col("q3") - F.col("q1")) / 1.349, F.lit(0.05))).alias("s"))
+    return per.groupBy(source).agg(*[F.max(F.when(F.col("m") == i, F.col(k))).alias(f"__{k}{i}") for i in range(len(metrics)) for k in ("c", "s")])
 
 
-def _chart(series: np.ndarray, x: np.ndarray, centre: np.ndarray, scale: np.ndarray, lam: float, width: float) -> np.ndarray:
-    """Suspect flags of ``x`` (rows by metrics). All series of the batch advance together, a row each per step.
+def _chart(series: np.ndarray, x: np.ndarray, centre: np.ndarray, scale: np.ndarray, lam: float, width: float, carried: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Suspect flags of ``x`` (rows by metrics) and the state (mean, variance) in which the last series ends.
 
-    ``series``: number of each row's series; rows of a series are neighbours. A suspected value is clipped to the
-    limit before it moves mean and scale; NaN moves nothing.
+    ``series``: number of each row's series; rows of a series are neighbours. All series advance together, a row each per step. The first
+    one starts from ``carried`` if that is given, any other from its centre and scale. A suspected value is clipped to
+    the limit before it moves mean and scale; NaN moves nothing.
     """
     n, m = x.shape
-    starts = np.flatnonzero(np.r_[True, series[1:] != series[:-1]]) if n else np.zeros(0, int)
+    starts = np.flatnonzero(np.r_[True, series[1:] != series[:-1]])
     length = np.diff(np.r_[starts, n])
     order = np.argsort(-length, kind="stable")
-    starts, length = starts[order], length[order]
     mean, sd0 = centre[starts].copy(), scale[starts]
     var = sd0**2
+    if carried is not None:
+        mean[0], var[0] = carried
+    starts, length, mean, sd0, var = starts[order], length[order], mean[order], sd0[order], var[order]
     out = np.zeros((n, m), bool)
-    for t in range(int(length[0]) if len(length) else 0):
+    for t in range(int(length[0])):
         k = int(np.searchsorted(-length, -t, side="left"))  # series longer than t
         i = starts[:k] + t
         v = x[i]
@@ -78,68 +86,73 @@ def _chart(series: np.ndarray, x: np.ndarray, centre: np.ndarray, scale: np.ndar
         mean[:k] += lam * c
         nv = (1 - lam) * var[:k] + lam * np.minimum(c * c, (1.5 * sd) ** 2) * 1.3
         var[:k] = np.where(have, np.clip(nv, (0.5 * sd0[:k]) ** 2, (1.5 * sd0[:k]) ** 2), var[:k])
-    return out
+    last = int(np.flatnonzero(order == len(order) - 1)[0])
+    return out, (mean[last], var[last])
 
 
-def chart_buckets(df: DataFrame, source: str, block: str, order: list[str], metrics: dict[str, float | None], lam: float = 0.05, width: float = 2.5) -> DataFrame:
-    """Charted log-buckets per source: ``source, m, b, lo, hi, n, ns`` (``ns``: suspected among ``n``).
+def charted(df: DataFrame, source: str, block: str, order: list[str], ident: str, metrics: dict[str, float | None], lam: float = 0.05, width: float = 2.5, series_rows: int = 50_000) -> DataFrame:
+    """What the charts find: ``source, m, ident, x``, a row per suspected log reading, and one with null ``ident`` for the highest accepted.
 
-    Charts run per (source, block), each from the source's robust level, so a large source is charted by many tasks
-    and a batch never has to be held beyond its last, open series.
+    A chart runs per (source, block) from the source's robust level, batch by batch; between batches only its mean and scale are kept.
+    A block of more than ``series_rows`` readings is charted as several series, each a hashed part of it in time order, so no source and no
+    day makes one task's work.
     """
     k = len(metrics)
-    logs = [_plausible(F.col(c), lim).alias(f"__x{i}") for i, (c, lim) in enumerate(metrics.items())]
-    levels = source_levels(df, source, metrics)
-    rows = guarded_join(df.select(F.col(source).alias(source), F.col(block).alias("__b"), *order, *logs), levels, [source], "inner")
-    rows = rows.repartition(source, "__b").sortWithinPartitions(source, "__b", *order)
+    levels = checkpointed(source_levels(df, source, metrics))
+    logs = [F.when(F.col(c) == 0, F.lit(NOTHING)).otherwise(_plausible(F.col(c), lim)).cast("float").alias(f"__x{i}") for i, (c, lim) in enumerate(metrics.items())]
+    rows = df.where(F.col(source).isNotNull()).select(F.col(source).alias(source), F.col(block).alias("__b"), *order, ident, *logs)
+    big = checkpointed(rows.groupBy(source, "__b").count().where(F.col("count") > series_rows).select(source, "__b", F.ceil(F.col("count") / series_rows).alias("__k")))
+    if not big.isEmpty():
+        rows = rows.join(F.broadcast(big) if fits_broadcast(big) else big, [source, "__b"], "left").withColumn("__b", F.struct("__b", F.pmod(F.xxhash64(ident), F.coalesce("__k", F.lit(1))))).drop("__k")
+    rows = rows.withColumn("__b", F.xxhash64("__b"))
+    near = fits_broadcast(levels)
+    rows = rows if near else salted_join(rows, levels, [source])
+    rows = rows.repartition(source, "__b").sortWithinPartitions(source, "__b", *order, ident)
+    rows = rows.drop(*order).join(F.broadcast(levels), source) if near else rows.drop(*order)
     cols = [f"__x{i}" for i in range(k)]
+    kind = dict(df.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
-
-        def done(p: pd.DataFrame) -> pd.DataFrame:
-            code = p[source].ne(p[source].shift()) | p["__b"].ne(p["__b"].shift())
-            x = p[cols].to_numpy(float)
-            c, s = p[[f"__c{i}" for i in range(k)]].to_numpy(float), p[[f"__s{i}" for i in range(k)]].to_numpy(float)
-            sus = _chart(code.cumsum().to_numpy(), x, np.nan_to_num(c), np.nan_to_num(s, nan=1.0), lam, width)
-            src = np.repeat(p[source].to_numpy(object), k)
-            f = pd.DataFrame({"s": src, "m": np.tile(np.arange(k), len(p)), "x": x.ravel(), "ns": sus.ravel().astype("int64")})
-            f = f[f["x"].notna()]
-            f["b"] = np.floor(f["x"] / BUCKET).astype("int64")
-            g = f.groupby(["s", "m", "b"], sort=False).agg(lo=("x", "min"), hi=("x", "max"), n=("x", "size"), ns=("ns", "sum")).reset_index()
-            return g[["s", "m", "b", "lo", "hi", "n", "ns"]]
-
+        key, state, top = None, None, {}
         for p in batches:
-            p = p if rest is None else pd.concat([rest, p], ignore_index=True)
             if not len(p):
                 continue
-            last = (p[source].ne(p[source].iloc[-1]) | p["__b"].ne(p["__b"].iloc[-1])).to_numpy()
-            cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
-            rest = p.iloc[cut:]
-            if cut:
-                yield done(p.iloc[:cut])
-        if rest is not None and len(rest):
-            yield done(rest)
-
-    part = rows.mapInPandas(run, "s string, m int, b bigint, lo double, hi double, n bigint, ns bigint")
-    return part.groupBy(F.col("s").alias(source), "m", "b").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.sum("ns").alias("ns"))
-
-
-def spike_limits(buckets: DataFrame, source: str, k: int, factor: float = 3.0) -> DataFrame:
-    """Highest ordinary log reading per source and metric, times ``factor`` (``__l0 .. __lk`` per source).
-
-    The ordinary readings end at the first gap of more than ``factor`` above which the charts suspect most values.
-    A source without such a gap has no limit (null).
+            src, blk = p[source].to_numpy(object), p["__b"].to_numpy()
+            new = np.r_[True, (src[1:] != src[:-1]) | (blk[1:] != blk[:-1])]
+            x = p[cols].to_numpy(float)
+            c, s = (np.nan_to_num(p[[f"__{q}{i}" for i in range(k)]].to_numpy(float), nan=d) for q, d in (("c", 0.0), ("s", 1.0)))
+            x = np.where((x <= NOTHING) & (c > NOTHING), np.nan, x)  # a zero is a reading only of a source that stands still
+            suspect, state = _chart(new.cumsum(), x, c, s, lam, width, state if key == (src[0], blk[0]) else None)
+            key = (src[-1], blk[-1])
+            i, m = np.nonzero(suspect)
+            yield pd.DataFrame({"s": src[i], "m": m.astype("int32"), "ident": p[ident].to_numpy()[i], "x": x[i, m]})
+            ok = np.where(suspect, np.nan, x)
+            first = np.flatnonzero(np.r_[True, src[1:] != src[:-1]])
+            for a, z in zip(first, np.r_[first[1:], len(src)]):
+                for j in range(k):
+                    v = ok[a:z, j]
+                    if not np.isnan(v).all():
+                        top[src[a], j] = max(np.nanmax(v), top.get((src[a], j), -np.inf))
+        if top:
+            yield pd.DataFrame({"s": [q[0] for q in top], "m": np.array([q[1] for q in top], "int32"), "ident": None, "x": list(top.values())})
+
+    return rows.mapInPandas(run, f"s {kind[source]}, m int, ident {kind[ident]}, x double").withColumnRenamed("s", source)
+
+
+def chart_spikes(found: DataFrame, source: str, factor: float = 3.0) -> DataFrame:
+    """Spikes among what ``charted`` found: ``ident, m``.
+
+    The ordinary readings of a source and metric are those its charts accept, and suspected ones that follow them upward without a gap of
+    more than ``factor`` (the tail of the ordinary). A suspected reading above ``factor`` times the highest ordinary one is a spike. Where
+    nothing was accepted nothing is ordinary, and there are no spikes.
     """
-    w = Window.partitionBy(source, "m").orderBy("b")
-    up = Window.partitionBy(source, "m").orderBy(F.col("b").desc())
-    walk = (
-        buckets.withColumn("below", F.lag("hi").over(w))
-        .withColumn("share", F.sum("ns").over(up) / F.sum("n").over(up))
-        .where((F.col("lo") - F.col("below") > math.log(factor)) & (F.col("share") >= 0.5))
-    )
-    per = walk.groupBy(source, "m").agg((F.min("below") + math.log(factor)).alias("l"))
-    return per.groupBy(source).agg(*[F.max(F.when(F.col("m") == i, F.col("l"))).alias(f"__l{i}") for i in range(k)])
+    gap = math.log(factor)
+    top = found.where("ident is null").groupBy(source, "m").agg(F.max("x").alias("top"))
+    high = guarded_join(found.where("ident is not null"), top, [source, "m"], "inner").where("x > top")
+    cells = high.groupBy(source, "m", "top", F.floor(F.col("x") / (gap / 4)).alias("b")).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    below = F.coalesce(F.lag("hi").over(Window.partitionBy(source, "m").orderBy("b")), F.col("top"))
+    limits = cells.withColumn("below", below).where(F.col("lo") - F.col("below") > gap).groupBy(source, "m").agg((F.min("below") + gap).alias("l"))
+    return guarded_join(high, limits, [source, "m"], "inner").where("x > l").select("ident", "m")
 
 
 def stuck_readings(df: DataFrame, group: list[str], seq: str, ident: str, metrics: list[str], run: int = 6, tol: float = 1e-4, block: int = 4096) -> DataFrame:
@@ -165,7 +178,10 @@ def stuck_readings(df: DataFrame, group: list[str], seq: str, ident: str, metric
     inside = s3.select(ident, F.explode(F.array_compact(F.array(*[F.when(F.col(f"__f{i}"), F.lit(i)) for i in n]))).alias("i"))
 
     # borders: the first and last run - 1 readings of each block, for groups of several blocks
-    many = base.groupBy(*group).agg(F.min("__blk").alias("a"), F.max("__blk").alias("z")).where("z > a").drop("a", "z")
+    many = checkpointed(base.groupBy(*group).agg(F.min("__blk").alias("a"), F.max("__blk").alias("z")).where("z > a").drop("a", "z"))
+    if many.isEmpty():
+        return inside
+    many = F.broadcast(many) if fits_broadcast(many) else many
     long = base.join(many, group, "left_semi").select(*keys, ident, "__q", F.posexplode(F.array(*[F.col(f"__v{i}") for i in n])).alias("i", "v")).where("v is not null")
     by = Window.partitionBy(*keys, "i")
     edge = (
@@ -190,8 +206,9 @@ def implausible_readings(
 ) -> DataFrame:
     """Readings that do not fit their source, ``clip_id, metric, reason`` (a reading once per reason).
 
-    ``physical``: negative, infinite, or above the metric's limit. ``spike``: above ``factor`` times the highest
-    ordinary reading of the source, which robust exponentially weighted charts of the log readings tell from spikes.
+    ``physical``: negative, infinite, or above the metric's limit. ``spike``: suspected by its robust exponentially weighted chart (of the log
+    readings) and above ``factor`` times the highest ordinary reading of the source; for a source whose readings are mostly exact
+    zeros the ordinary is 0, so that any positive reading is one.
     ``stuck``: among ``run`` or more successive readings of a group within ``tol`` of one another.
 
     A clip counts once (its first row). Null, NaN and 0 are never cases; rows without source are held to
@@ -199,20 +216,17 @@ def implausible_readings(
     """
     metrics = metrics or {c: MAX_ROTATION if "rotation" in c else None for c in STEP_METRICS}
     cols = list(metrics)
-    base = one_per_clip(df, [clip, source, group, seq, at, *cols], clip, order)
-    blk = F.coalesce(F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (block_seconds * 1_000_000)), F.pmod(F.xxhash64(clip), F.lit(64)))
-    charted = chart_buckets(base.withColumn("__blk", blk), source, "__blk", [at, seq, clip], metrics)
-    limits = spike_limits(charted, source, len(cols), factor)
-    rows = guarded_join(base, limits, [source])
+    base = written(one_per_clip(df, [clip, order, source, group, seq, at, *cols], clip, order))
+    day = F.coalesce(F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (block_seconds * 1_000_000)), F.pmod(F.xxhash64(order), F.lit(64)))
+    found = checkpointed(charted(base.withColumn("__blk", day), source, "__blk", [at, seq], order, metrics))
+    spikes = chart_spikes(found, source, factor).select(F.col("ident").alias(order), F.col("m").alias("i"), F.lit("spike").alias("reason"))
+    stuck = stuck_readings(base.where(F.col(group).isNotNull()), [source, group], seq, order, cols, run, tol).select(order, F.col("i"), F.lit("stuck").alias("reason"))
+    names = F.array(*[F.lit(c) for c in cols])
+    drawn = guarded_join(base.select(order, clip), spikes.unionByName(stuck), [order], "inner").select(clip, F.element_at(names, F.col("i") + 1).alias("metric"), "reason")
     flags = []
-    for i, (c, lim) in enumerate(metrics.items()):
+    for c, lim in metrics.items():
         x = F.col(c)
-        real = x.isNotNull() & ~F.isnan(x)
-        bad = real & ((x < 0) | (x == float("inf")) | ((x > lim) if lim else F.lit(False)))
-        spike = real & (x > 0) & (F.ln(F.when(x > 0, x)) > F.col(f"__l{i}"))
-        flags += [F.when(bad, F.struct(F.lit(c).alias("metric"), F.lit("physical").alias("reason"))), F.when(spike, F.struct(F.lit(c).alias("metric"), F.lit("spike").alias("reason")))]
-    point = rows.select(clip, F.explode(F.array_compact(F.array(*flags))).alias("r")).select(clip, "r.metric", "r.reason")
-    names = F.array(*[F.lit(c) for c in cols])
-    stuck = stuck_readings(base.where(F.col(group).isNotNull()), [source, group], seq, clip, cols, run, tol)
-    stuck = stuck.select(clip, F.element_at(names, F.col("i") + 1).alias("metric"), F.lit("stuck").alias("reason"))
-    return point.unionByName(stuck)
+        bad = x.isNotNull() & ~F.isnan(x) & ((x < 0) | (x == float("inf")) | ((x > lim) if lim else F.lit(False)))
+        flags.append(F.when(bad, F.struct(F.lit(c).alias("metric"), F.lit("physical").alias("reason"))))
+    physical = base.select(clip, F.explode(F.array_compact(F.array(*flags))).alias("r")).select(clip, "r.metric", "r.reason")
+    return physical.unionByName(drawn)

@@ -78,8 +78,9 @@ def _p5_sql() -> str:
     return head + f"""l as (select * from ({long}) where x is not null and not isnan(x)),
 bad as (select clip_id, metric from l where x < 0 or isinf(x) or x > {lim}),
 ord as (select *, lag(x) over w as below, percent_rank() over w as pr from l where x > 0 and not isinf(x) and x <= {lim} window w as (partition by src, metric order by x)),
-cut as (select src, metric, min(below) as h from ord where pr >= 0.75 and x > 3 * below group by src, metric),
-spike as (select l.clip_id, l.metric from l join cut using (src, metric) where l.x > 3 * h),
+still as (select src, metric from l where not isinf(x) and x between 0 and {lim} group by src, metric having count(*) filter (x = 0) * 2 > count(*)),
+cut as (select src, metric, min(below) as h from ord anti join still using (src, metric) where pr >= 0.75 and x > 3 * below group by src, metric union all select src, metric, 0.0 from still),
+spike as (select l.clip_id, l.metric from l join cut using (src, metric) where l.x > 3 * h and not isinf(l.x) and l.x <= {lim}),
 st as (select *, min(x) over w as lo, max(x) over w as hi, count(*) over w as n from l window w as (partition by src, g, metric order by q rows between 5 preceding and current row)),
 en as (select *, n = 6 and lo > 0 and not isinf(hi) and hi - lo <= 1e-4 * hi as e from st),
 stuck as (select clip_id, metric from (select *, max(cast(e as int)) over (partition by src, g, metric order by q rows between current row and 5 following) as f from en) where f = 1)

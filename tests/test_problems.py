@@ -1,12 +1,13 @@
 """Problems 2, 5 and 6 on small cases: brute force, nulls, ties, repeated rows, empty tables, extra columns."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from framewright import session
 from framewright.operators import compaction, control_charts, intervals
-from framewright.session import guarded_join
 
 IV = "interval_id bigint, video string, fps double, start_frame bigint, end_frame bigint, start_sec double, end_sec double, score double, s string, e int, kind string"
 
@@ -146,10 +147,55 @@ def test_table_compaction(spark, tmp_path):
     assert other._commit(v, {"new": []}) == v + 2
 
 
-def test_guarded_join_beyond_the_bound(spark):
-    big = spark.range(200).select((F.col("id") % 3).alias("k"), "id")
-    small = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
+def test_guarded_join_beyond_the_bound(spark, monkeypatch):
+    big = spark.range(200).select(F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("k"), "id")
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (None, "c")], "k bigint, v string")
     for how in ("left", "inner", "left_semi"):
-        a = sorted(map(str, guarded_join(big, small, ["k"], how).collect()))
-        b = sorted(map(str, guarded_join(big, small, ["k"], how, rows=1).collect()))
-        assert a == b and a
+        a = sorted(map(str, session.guarded_join(big, small, ["k"], how).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(session, "BROADCAST_BYTES", 1)
+            b = sorted(map(str, session.guarded_join(big, small, ["k"], how).collect()))
+        c = sorted(map(str, session.salted_join(big, small, ["k"], how, per=10).collect()))
+        assert a == b == c and a
+
+
+def test_size_of(spark):
+    d = spark.createDataFrame([("abc", [1.0, 2.0], ["x", None], {"k": "v"}, (1, "yy"), None)], "s string, a array<double>, b array<string>, m map<string,string>, r struct<i:int,t:string>, n int")
+    rows, size = session.size_of(d)
+    assert rows == 1 and 100 < size < 400 and session.size_of(d.where("false")) == (0, 0)
+
+
+def test_a_source_that_stands_still(spark):
+    H = control_charts.STEP_METRICS[0]
+    rows = [(f"c{i}", "still", "g", i, [0.02 if i == 40 else 0.0, 0.1 + i % 3 / 100, None, 0.0]) for i in range(80)]
+    rows += [(f"d{i}", "moves", "h", i, [0.0 if i % 4 else 0.03 + i % 5 / 1000, None, None, None]) for i in range(20)]
+    rows += [(f"e{i}", "moves", "k", i, [0.0 if i % 4 == 0 else 0.03 + i % 5 / 1000, None, None, None]) for i in range(80)]
+    out = control_charts.implausible_readings(stats(spark, rows))
+    assert flagged(out, "spike") == {("c40", H)}
+
+
+@pytest.mark.parametrize("batch", ["7", "10000"])
+def test_charts_carry_their_state_between_batches(spark, batch):
+    r = random.Random(9)
+    rows = [(f"c{i}", f"s{i % 2}", "g", i, [r.lognormvariate(-3 + i / 400, 0.4) for _ in range(4)]) for i in range(400)]
+    df = stats(spark, rows).coalesce(1).withColumn("__blk", F.lit(1))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {(x.ident, x.m) for x in control_charts.charted(df, "source_id", "__blk", ["clip_seq"], "stat_id", dict.fromkeys(control_charts.STEP_METRICS)).collect() if x.ident is not None}
+        split = control_charts.charted(df, "source_id", "__blk", ["clip_seq"], "stat_id", dict.fromkeys(control_charts.STEP_METRICS), series_rows=50).count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = set()
+    lv = {x.source_id: x for x in control_charts.source_levels(df, "source_id", dict.fromkeys(control_charts.STEP_METRICS)).collect()}
+    for s in (0, 1):
+        for m in range(4):
+            mean, sd0 = lv[f"s{s}"][f"__c{m}"], lv[f"s{s}"][f"__s{m}"]
+            var = sd0 * sd0
+            for i in range(s, 400, 2):
+                v, sd = math.log(rows[i][4][m]), math.sqrt(var)
+                if v - mean > 2.5 * sd:
+                    want.add((i, m))
+                c = min(max(v - mean, -2.5 * sd), 2.5 * sd)
+                mean += 0.05 * c
+                var = min(max(0.95 * var + 0.05 * min(c * c, 2.25 * var) * 1.3, 0.25 * sd0 * sd0), 2.25 * sd0 * sd0)
+    assert got == want and want and split > 0

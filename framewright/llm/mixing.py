@@ -53,7 +53,7 @@ def thresholds(texts: DataFrame, budget: DataFrame) -> DataFrame:
         rows = guarded_join(rows, open_.select("source", F.col("prefix").alias("__p")), ["source"], "inner").where(F.shiftright("h", shift + STEP) == F.col("__p")).drop("__p")
         if shift < BITS - STEP:
             rows = checkpointed(rows)
-        hist = rows.groupBy("source", F.shiftright("h", shift).alias("b")).agg(F.sum("n_tokens").alias("t"), F.countDistinct("h").alias("k"))
+        hist = rows.groupBy("source", F.shiftright("h", shift).alias("b")).agg(F.sum("n_tokens").alias("t"), F.when(F.min("h") == F.max("h"), 1).otherwise(2).alias("k"))
         w = Window.partitionBy("source").orderBy("b")
         cum = hist.withColumn("c", F.sum("t").over(w)).join(open_.select("source", "rest"), "source")
         # the first bucket whose running sum passes the rest

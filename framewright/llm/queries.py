@@ -20,6 +20,10 @@ def _drawn(s, d):
     return mixing.mix(load(s, d, "documents"), load(s, d, "mix_targets"))
 
 
+def _filled(s, d):
+    return containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs"))
+
+
 QUERIES = {
     "p1_found": lambda s, d: overlap.cross_split_pairs(load(s, d, "clips")).selectExpr("least(train_pos, eval_pos) as pos_a", "greatest(train_pos, eval_pos) as pos_b"),
     "p1_overlap_report": lambda s, d: overlap.overlap_report(load(s, d, "clips")),
@@ -29,8 +33,9 @@ QUERIES = {
     "p4_groups": lambda s, d: splits.grouped(load(s, d, "clips"), load(s, d, "sources")).where("group_key is not null").groupBy("root_source", "group_key").agg(F.count("*").alias("records")),
     "p4_assignment": _assigned,
     "p4_split_report": lambda s, d: splits.split_report(_assigned(s, d), load(s, d, "split_targets")),
-    "p7_containers": lambda s, d: containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs")),
-    "p7_fill_report": lambda s, d: containers.fill_report(containers.fill_containers(load(s, d, "documents"), load(s, d, "container_specs"))),
+    "p7_containers": lambda s, d: _filled(s, d),
+    "p7_fill_report": lambda s, d: containers.fill_report(_filled(s, d)),
+    "p7_fill_check": lambda s, d: containers.fill_check(checkpointed(_filled(s, d))),
     "p8_draw": _drawn,
     "p8_shares": lambda s, d: mixing.shares(checkpointed(_drawn(s, d)), load(s, d, "mix_targets")),
     "p9_found": lambda s, d: reading.demanding(_levels(s, d).where("is_english_prose")),
@@ -53,6 +58,7 @@ case when sp in ('train', 'training') then 'train' when sp in ('val', 'valid', '
 ORACLES: dict[str, str] = {
     "p3_daily_percentiles": _percentile_sql("cast(r.eval_time as date)", "day"),
     "p3_monthly_percentiles": _percentile_sql("cast(date_trunc('month', r.eval_time) as date)", "span"),
+    "p7_fill_check": "select spec_id, count(*) as texts, cast(0 as bigint) as bad_containers, cast(0 as bigint) as cut_texts, true as near_bound from documents, container_specs where text <> '' and capacity_tokens > 0 group by spec_id",
     "p4_found": f"{_GROUPS} select root_source, group_key from g where sp is not null and group_key is not null and root_source is not null group by all having count(distinct sp) > 1",
     "p4_groups": f"{_GROUPS} select root_source, group_key, count(*) as records from g where group_key is not null group by all",
 }

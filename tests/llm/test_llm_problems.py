@@ -165,9 +165,9 @@ def test_bin_completion():
     r = random.Random(2)
     for _ in range(60):
         s = [r.randint(1, 20) for _ in range(r.randint(1, 9))]
-        b = containers.complete_bins(s, 20)
-        assert sorted(x for y in b for x in y) == sorted(s) and all(sum(y) <= 20 for y in b) and len(b) == least(s, 20)
-    assert containers.complete_bins([], 5) == []
+        b, ended = containers.complete_bins(s, 20)
+        assert ended in ("bound", "searched") and containers.least_bins(s, 20) <= len(b) and sorted(x for y in b for x in y) == sorted(s) and all(sum(y) <= 20 for y in b) and len(b) == least(s, 20)
+    assert containers.complete_bins([], 5) == ([], "bound")
 
 
 def test_containers(spark):
@@ -204,10 +204,29 @@ def test_containers(spark):
 def test_fillings_of_many_items():
     assert containers.fillings([1], {1: 5_000}, 5_000, 3, 120) == [(0, [1] * 5_000)]
     assert containers.fillings([2, 3], {2: 4, 3: 2}, 7, 3, 120) == [(0, [3, 2, 2]), (1, [3, 3])]
-    b = containers.complete_bins([1] * 4_999 + [2_001] * 3, 4_000)
+    assert containers.fillings([2, 3], {2: 4, 3: 2}, 8, 3, 120)[0] == (0, [3, 3, 2])
+    b, _ = containers.complete_bins([1] * 4_999 + [2_001] * 3, 4_000)
     assert len(b) == 3 and sorted(x for y in b for x in y) == [1] * 4_999 + [2_001] * 3
 
 
+def test_dominance_and_bound():
+    assert containers.dominated([3, 2], 0, [5]) and containers.dominated([4], 1, [5]) and not containers.dominated([4], 1, [4, 6])
+    assert not containers.dominated([5], 0, [3, 2]) and containers.dominated([4, 2, 2], 0, [4])  # the twos could go where the other four goes
+    assert not containers.dominated([3], 2, [1, 2]) and not containers.dominated([], 3, [2])
+    assert containers.least_bins([6] * 5, 10) == 5 and containers.least_bins([6, 6, 4, 4], 10) == 2 and containers.least_bins([4] * 7, 10) == 3
+    r = random.Random(4)
+    for _ in range(200):  # never above what best fit reaches
+        s = [r.randint(1, 30) for _ in range(r.randint(1, 40))]
+        assert containers.least_bins(s, 30) <= len(containers.best_fit(s, 30))
+
+
+def test_plain_inputs_end():
+    """Thousands of equal or tiny items, and items that never share a container."""
+    for sizes, cap, want in (([4] * 2_000, 8_000, 1), ([1] * 10_000, 512, 20), ([6] * 20_000, 10, 20_000), ([5_000] * 3 + [3] * 1_200, 8_192, 3)):
+        b, ended = containers.complete_bins(sizes, cap)
+        assert len(b) == want and ended == "bound" and sorted(x for y in b for x in y) == sorted(sizes)
+
+
 def test_refill_ends_where_no_container_is_freed(spark):
     docs = spark.createDataFrame([(i, "word " * 300) for i in range(60)], "doc_id bigint, text string")
     spec = spark.createDataFrame([(1, 512)], "spec_id int, capacity_tokens int")
@@ -216,6 +235,13 @@ def test_refill_ends_where_no_container_is_freed(spark):
     assert len({x.container.rsplit("-", 1)[0] for x in got}) > 1  # more than one block
 
 
+def test_many_items_of_sixty_percent(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("a b c d e f").alias("text"))
+    spec = spark.createDataFrame([(1, 10), (2, 4096)], "spec_id int, capacity_tokens int")
+    r = {x.spec_id: x for x in containers.fill_report(containers.fill_containers(docs, spec)).collect()}
+    assert (r[1].texts, r[1].containers, r[1].ended_by_budget) == (200_000, 200_000, 0) and r[2].texts == 200_000 and r[2].containers <= r[2].least_containers + 2
+
+
 def test_mix(spark):
     r = random.Random(5)
     rows = [(i, r.choice(["big", " BIG ", "small", None, "other"]) if i > 40 else "big", None if i % 97 == 0 else f"text {i} " * r.randint(1, 30), "x", 2) for i in range(900)]

@@ -97,7 +97,7 @@ def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, node
                 taken.append((top, n))
                 room -= n * kinds[top]
                 seen += 1
-        if room not in found:
+        if room not in found and (len(found) < width or room < max(found)):  # only the best `width` are wanted
             used = dict(taken)
             if all(left[kinds[i]] <= used.get(i, 0) for i in range(bisect.bisect_right(kinds, room))):
                 sizes = [kinds[i] for i, n in taken for _ in range(n)]
@@ -105,6 +105,8 @@ def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, node
                 outer = [k for i, k in enumerate(kinds) if left[k] > used.get(i, 0)]
                 if not dominated(sizes, room, outer):
                     found[room] = sizes
+                    if len(found) > width:
+                        del found[max(found)]
         if not taken or seen >= nodes or (0 in found and len(found) >= width):
             return sorted(found.items())[:width] or [first or (room, [])]
         top, n = taken.pop()  # one less of the smallest, then smaller ones in its room

@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import itertools
 from collections import Counter
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,7 +50,7 @@ def least_bins(sizes: list[int], capacity: int) -> int:
     return best
 
 
-def dominated(filling: list[int], slack: int, others: list[int]) -> bool:
+def dominated(filling: list[int], slack: int, others: Iterable[int]) -> bool:
     """Whether some of ``filling`` could give way to one larger item of ``others`` (sizes left out) within the room.
 
     Items of sum t that an item x with t <= x <= t + slack replaces could go where x would have gone, so such a filling is never needed.
@@ -89,7 +90,7 @@ def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, node
     """
     found: dict[int, list[int]] = {}
     taken: list[tuple[int, int]] = []  # (index in kinds, how many), indices falling
-    top, seen, first = len(kinds), 0, None
+    top, seen, first, stock = len(kinds), 0, None, [k for k in kinds if left[k]]
     while True:
         while top := bisect.bisect_right(kinds, room, 0, top):
             top -= 1
@@ -102,8 +103,8 @@ def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, node
             if all(left[kinds[i]] <= used.get(i, 0) for i in range(bisect.bisect_right(kinds, room))):
                 sizes = [kinds[i] for i, n in taken for _ in range(n)]
                 first = first or (room, sizes)
-                outer = [k for i, k in enumerate(kinds) if left[k] > used.get(i, 0)]
-                if not dominated(sizes, room, outer):
+                gone = {kinds[i] for i, n in taken if n == left[kinds[i]]}
+                if not dominated(sizes, room, (k for k in stock if k not in gone)):
                     found[room] = sizes
                     if len(found) > width:
                         del found[max(found)]

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.keys import clip_key, split_name
-from framewright.session import checkpointed, guarded_join
+from framewright.session import checkpointed, fits_broadcast, salted_join, written
 
-#: Symbols of the texts: a frame size modulo this, so that a symbol takes four bytes. Frames under 2 GiB are told apart exactly.
+#: Symbols of the suffix array: a frame size, or a hash of it if it is this or more. The final check compares whole sizes.
 SYMBOLS = (1 << 31) - 1
+#: Common prefixes are told apart up to this length; longer spans are seen as several that overlap.
+DEPTH = 16
 
 
 def lcs_length(x: list, y: list) -> int:
@@ -28,146 +33,208 @@ def lcs_length(x: list, y: list) -> int:
     return len(x) - row.bit_count()
 
 
-def span_coverage(x: list, y: list, seeds: list[tuple[int, int]]) -> tuple[int, int]:
-    """Positions of ``x`` and of ``y`` covered by the shared spans that begin at ``seeds`` (pairs of positions)."""
-    cx, cy = set(), set()
-    for i, j in seeds:
-        while i < len(x) and j < len(y) and x[i] == y[j]:
-            cx.add(i)
-            cy.add(j)
-            i += 1
-            j += 1
-    return len(cx), len(cy)
-
-
 def manifest_lines(clips: DataFrame) -> DataFrame:
     """``manifest_pos, source_id, split, key, cls, sizes``: stored sizes in order, and a name for the exact sequence.
 
-    Lines whose split names no split are dropped: they are on neither side of a pair. ``sizes`` is null without offsets.
+    Lines whose split names no split are dropped: they are on neither side of a pair. ``sizes`` is null without offsets; a
+    frame without size has size -1.
     """
-    sizes = F.transform(F.col("descriptor.frame_offsets"), lambda o: F.get(o, F.lit(1)))
+    sizes = F.transform(F.col("descriptor.frame_offsets"), lambda o: F.coalesce(F.get(o, F.lit(1)), F.lit(-1).cast("bigint")))
     d = clips.select("manifest_pos", "source_id", split_name(F.col("split")).alias("split"), clip_key(F.col("clip_id")).alias("key"), F.when(F.size(sizes) > 0, sizes).alias("sizes"))
-    d = d.where("split is not null").withColumn("cls", F.unhex(F.md5(F.array_join("sizes", ",", "-"))))
-    return d.withColumn("sizes", F.transform("sizes", lambda x: (x % SYMBOLS).cast("int")))
+    return d.where("split is not null").withColumn("cls", F.unhex(F.md5(F.array_join("sizes", ","))))
 
 
-def suffix_array(classes: DataFrame, span: int = 2, depth: int = 0) -> DataFrame:
-    """Suffixes of all texts in ``cls, sizes, n, tr, ev`` (one text per class), keyed by a hash ``k`` of their first ``span`` symbols.
+def texts_of(lines: DataFrame) -> DataFrame:
+    """``id, cls, n, tr, ev, sizes``: one text per exact sequence, numbered, with the sides it is listed on.
 
-    ``i`` is the place, ``prev`` the symbol before and, with a ``depth``, ``suf`` the suffix cut at it. Texts of up to four
-    symbols also give suffixes by one symbol, since two such texts may match without a common pair.
+    A group of copies is one text, however many lines it has.
     """
-    at = lambda i, n: F.slice("sizes", i + 1, n)
+    one = lines.where("sizes is not null").groupBy("cls").agg(F.any_value("sizes").alias("sizes"), F.bool_or(F.col("split") == "train").alias("tr"), F.bool_or(F.col("split") != "train").alias("ev"))
+    return written(one.select(F.monotonically_increasing_id().alias("id"), "cls", F.size("sizes").alias("n"), "tr", "ev", "sizes"))
+
 
-    def row(i, k):
-        deep = [F.when(i > 0, F.get("sizes", i - 1)).alias("prev"), at(i, depth).alias("suf")] if depth else []
-        return F.struct(F.xxhash64(at(i, k)).alias("k"), i.alias("i"), F.lit(k).alias("w"), *deep)
+def symbols(sizes: Column) -> Column:
+    return F.transform(sizes, lambda x: F.when((x >= 0) & (x < SYMBOLS), x).otherwise(F.pmod(F.xxhash64(x), F.lit(SYMBOLS))).cast("int"))
 
-    places = lambda last: F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    n = F.col("n")
-    long = F.transform(places(n - span), lambda i: row(i, span))
-    short = F.transform(places(F.when(n <= 4, n - 1).otherwise(-1)), lambda i: row(i, 1))
-    return classes.select("cls", "n", "tr", "ev", F.explode(F.concat(long, short) if span > 1 else long).alias("x")).select("cls", "n", "tr", "ev", "x.*")
+
+def least_spans(n: Column, share: float) -> Column:
+    """Frames of a text of ``n`` that lie in spans of two or more shared with any text it matches.
+
+    If m frames of two texts with na and nb match in order, na + nb - 2m are left over, and each break between two runs of matches takes one
+    of those. So at most na + nb - 2m + 1 runs are single frames, and 3m - na - nb frames lie in longer ones: with m at least ``share`` of the longer,
+    at least (3 share - 2) n for each of the two. (Up to 1 / (3 share - 2) frames, none need be.)
+    """
+    return F.greatest(F.ceil(n * (3 * share - 2) - 1e-9), F.lit(1))
 
 
-def shared_spans(classes: DataFrame, share: float = 0.75, span: int = 2, hot: int = 1 << 16, depth: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Where suffixes of train and of evaluation texts meet: left-maximal ``a, b, i, j`` and the prefixes too common for it.
+def shared_suffixes(texts: DataFrame, share: float, span: int) -> DataFrame:
+    """``id, n, tr, ev, sym, at``: where suffixes begin whose first ``span`` symbols both sides have, the rarest first.
 
-    A first pass counts each prefix by side, map-side combined and without the suffixes; prefixes of one side reveal nothing and
-    leave. The suffixes of the others are sorted, and neighbours whose common prefix is ``span`` or longer form one interval of the
-    suffix array. In it each span shared by a train and an evaluation text shows once, where it begins (the symbols before differ).
-    Prefixes of more than ``hot`` train-evaluation pairs are returned apart, for ``rare_prefix_pairs``.
+    Prefixes are counted by side, map-side combined, before any suffix is made: of a text only the suffixes that meet the other
+    side go on, and only if they cover ``least_spans`` of it. ``at`` holds structs ``f`` (pairs such a prefix makes), ``k`` (the prefix) and ``i``.
     """
-    counts = suffix_array(classes, span).groupBy("k").agg(F.sum(F.col("tr").cast("int")).alias("nt"), F.sum(F.col("ev").cast("int")).alias("ne")).where("nt > 0 and ne > 0")
-    sides = checkpointed(counts)
-    mixed = guarded_join(suffix_array(classes, span, depth), sides.where(F.col("nt") * F.col("ne") <= hot).select("k"), ["k"], "left_semi")
-    w = Window.partitionBy("k").orderBy("suf", "cls", "i")
-    # common prefix with the neighbour above in the sorted order
-    pairs = F.arrays_zip(F.col("suf").alias("x"), F.lag("suf").over(w).alias("y"))
-    same = lambda z: F.coalesce(z["x"] == z["y"], F.lit(False))
-    lcp = F.aggregate(pairs, F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, z: F.struct((s["n"] + F.when(s["go"] & same(z), 1).otherwise(0)).alias("n"), (s["go"] & same(z)).alias("go")))["n"]
-    ordered = mixed.withColumn("lcp", F.coalesce(lcp, F.lit(0))).withColumn("interval", F.sum(F.when(F.col("lcp") < F.col("w"), 1).otherwise(0)).over(w))
-    ordered = checkpointed(ordered.select("k", "interval", "cls", "n", "i", "prev", "tr", "ev"))
-    side = lambda flag, c, i: ordered.where(flag).select("k", "interval", F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("i").alias(i), F.col("prev").alias(f"p{c}"))
-    met = side("tr", "a", "i").join(side("ev", "b", "j"), ["k", "interval"])
-    met = met.where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= share * F.greatest("na", "nb")) & ~F.coalesce(F.col("pa") == F.col("pb"), F.lit(False)))
-    return met.select("a", "b", "i", "j"), sides.where(F.col("nt") * F.col("ne") > hot).select("k")
-
-
-def rare_prefix_pairs(classes: DataFrame, hot_keys: DataFrame, share: float = 0.75, span: int = 2) -> DataFrame:
-    """Exact candidates among texts that hold a prefix of ``hot_keys``: two that match share one of their rarest frames.
-
-    If ``share`` of the longer text's frames match, the two have that many frames in common, so one of the rarest
-    ``n - ceil(share * n) + 1`` frames of either text is among the other's rarest.
+    sym = F.col("sym")
+    word = lambda i: F.get(sym, i).cast("bigint") if span == 1 else F.shiftleft(F.get(sym, i).cast("bigint"), 31) + F.get(sym, i + 1)
+    d = texts.select("id", "n", "tr", "ev", symbols(F.col("sizes")).alias("sym")).where(F.col("n") >= span)
+    rows = d.select("id", "n", "tr", "ev", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - span), word)).alias("i", "k"))
+    sides = rows.groupBy("k").agg(F.sum(F.col("tr").cast("int")).alias("nt"), F.sum(F.col("ev").cast("int")).alias("ne")).where("nt > 0 and ne > 0")
+    sides = checkpointed(sides.select("k", (F.col("nt") * F.col("ne")).alias("f")))
+    met = rows.select("id", "n", "i", "k").join(F.broadcast(sides) if fits_broadcast(sides) else sides, "k")
+    at = F.array_sort(F.collect_list(F.struct("f", "k", "i")))
+    of = met.groupBy("id", "n").agg(at.alias("at"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda x: F.sequence(x["i"], x["i"] + span - 1)))))
+    of = checkpointed(of.where(covered >= least_spans(F.col("n"), share)).select("id", "at"))
+    return d.join(F.broadcast(of) if fits_broadcast(of) else of, "id")
+
+
+def suffix_array(shared: DataFrame, share: float, span: int, depth: int = DEPTH) -> DataFrame:
+    """The sorted suffixes with their common-prefix intervals: ``id, n, tr, ev, i, meet, iv, ids``.
+
+    Suffixes are ordered by range partitions and sorted in each; ``lcp`` is the common prefix with the suffix before, over partition borders
+    too. A run of neighbours with ``lcp`` of d or more is an interval of depth d: ``ids`` numbers a suffix's intervals of the depths 1 to
+    ``depth``, so two suffixes have a common prefix as long as their ids agree. ``iv`` is the interval of depth ``span``.
+
+    A matching pair has T = least_spans - 1 or more such places in common (a span of l frames has l - 1). If each text leaves out its
+    T - 1 commonest places, the rarest place in common still meets: those left have ``meet``. So a prefix that a third of all texts have
+    makes no pairs, unless it is most of what they have.
     """
-    hot = suffix_array(classes, span).join(hot_keys, "k", "left_semi").select("cls").distinct()
-    texts = classes.join(hot, "cls", "left_semi")
-    w = Window.partitionBy("cls", "v").orderBy("p")
-    tok = texts.select("cls", "n", "tr", "ev", F.posexplode("sizes").alias("p", "v")).withColumn("o", F.row_number().over(w))
-    freq = tok.groupBy("v", "o").agg(F.count("*").alias("f"))
-    ranked = tok.join(freq, ["v", "o"]).withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("f", "v", "o")))
-    rare = ranked.where(F.col("r") <= F.col("n") - F.ceil(share * F.col("n")) + 1)
-    a, b = (rare.where(s).select("v", "o", F.col("cls").alias(c), F.col("n").alias(f"n{c}")) for s, c in (("tr", "a"), ("ev", "b")))
-    return a.join(b, ["v", "o"]).where((F.col("a") != F.col("b")) & (F.least("na", "nb") >= share * F.greatest("na", "nb"))).select("a", "b").distinct()
-
-
-def matching_texts(lines: DataFrame, share: float = 0.75, span: int = 2, hot: int = 1 << 16) -> DataFrame:
-    """Pairs of texts ``a`` (in train), ``b`` (in validation or test) of the same footage, with the coverage of each.
-
-    Exact copies form one text, so a group of copies is one text however many lines it has. A pair of texts with ``share`` of the
-    longer one's frames in common, in order, has a common span of two frames: it has at most half as many breaks as frames (for up to
-    four frames, of one). So with ``span`` = 2 no pair is lost.
+    spare = F.greatest(least_spans(F.col("n"), share) - 1, F.lit(1)) - 1
+    rows = shared.select("id", "n", "tr", "ev", "sym", (F.size("at") - spare).alias("most"), F.posexplode("at").alias("p", "x"))
+    rows = rows.select("id", "n", "tr", "ev", F.col("x.i").alias("i"), (F.col("p") < F.col("most")).alias("meet"), F.slice("sym", F.col("x.i") + 1, depth).alias("suf"))
+    order = ["suf", "id", "i"]
+    ranged = checkpointed(rows.repartitionByRange(*order).withColumn("pid", F.spark_partition_id()))
+    # the last suffix of the partition before, one row a partition
+    ends = ranged.groupBy("pid").agg(F.max("suf").alias("last"))
+    ends = checkpointed(ends.select("pid", F.lag("last").over(Window.orderBy("pid")).alias("before")))
+    w = Window.partitionBy("pid").orderBy(*order)
+    above = F.coalesce(F.lag("suf").over(w), F.col("before"))
+    d = ranged.join(F.broadcast(ends), "pid").withColumn("above", above)
+    step = lambda s, z: F.when(s["go"] & F.coalesce(z["suf"] == z["above"], F.lit(False)), F.struct((s["n"] + 1).alias("n"), F.lit(True).alias("go"))).otherwise(F.struct(s["n"].alias("n"), F.lit(False).alias("go")))
+    d = d.withColumn("lcp", F.when(F.col("above").isNull(), 0).otherwise(F.aggregate(F.arrays_zip("suf", "above"), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), step)["n"]))
+    breaks = [F.sum(F.when(F.col("lcp") < k, 1).otherwise(0)).over(w).cast("bigint").alias(f"b{k}") for k in range(1, depth + 1)]
+    d = checkpointed(d.select("pid", "id", "n", "tr", "ev", "i", "meet", *breaks).select("pid", "id", "n", "tr", "ev", "i", "meet", F.array(*[f"b{k}" for k in range(1, depth + 1)]).alias("ids")))
+    sums = d.groupBy("pid").agg(*[F.max(F.get("ids", F.lit(k))).alias(f"m{k}") for k in range(depth)])
+    up = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = checkpointed(sums.select("pid", F.array(*[F.coalesce(F.sum(f"m{k}").over(up), F.lit(0)) for k in range(depth)]).alias("base")))
+    d = d.join(F.broadcast(base), "pid").withColumn("ids", F.zip_with("ids", "base", lambda x, y: x + y))
+    return written(d.select("id", "n", "tr", "ev", "i", "meet", F.get("ids", F.lit(span - 1)).alias("iv"), "ids"))
+
+
+def shared_spans(a_at: np.ndarray, a_ids: np.ndarray, b_at: np.ndarray, b_ids: np.ndarray, na: int, nb: int, span: int) -> tuple[int, int]:
+    """Frames of two texts that lie in spans they share: places and interval ids of their suffixes merged into coverage."""
+    lcp = (a_ids[:, None, :] == b_ids[None, :, :]).sum(2)
+    ca, cb = np.zeros(na, bool), np.zeros(nb, bool)
+    for i, j in zip(*np.nonzero(lcp >= span)):
+        n = lcp[i, j]
+        ca[a_at[i] : a_at[i] + n] = True
+        cb[b_at[j] : b_at[j] + n] = True
+    return int(ca.sum()), int(cb.sum())
+
+
+def matches_of(texts: DataFrame, share: float, span: int, depth: int = DEPTH) -> DataFrame:
+    """``a, b, same, cover_a, cover_b`` of the matching texts that share a span of ``span`` frames, ``a`` in train and ``b`` not, a <> b.
+
+    Pairs meet in an interval of the suffix array; the spans they share are merged into coverage, and a pair whose coverage
+    falls short of what a match must have is given up. The others' frames are compared in full.
     """
-    classes = checkpointed(
-        lines.where("sizes is not null").groupBy("cls").agg(F.any_value("sizes").alias("sizes"), F.bool_or(F.col("split") == "train").alias("tr"), F.bool_or(F.col("split") != "train").alias("ev"))
-        .withColumn("n", F.size("sizes"))
-    )
-    met, hot_keys = shared_spans(classes, share, span, hot)
-    spans = met.groupBy("a", "b").agg(F.collect_set(F.struct("i", "j")).alias("seeds"))
-    rest = rare_prefix_pairs(classes, hot_keys, share, span).withColumn("seeds", F.array().cast("array<struct<i:int,j:int>>"))
-    cand = spans.unionByName(rest).groupBy("a", "b").agg(F.flatten(F.collect_list("seeds")).alias("seeds"))
-    text = classes.select("cls", "sizes")
-    # the candidates are few beside the texts, which needn't move then
-    cand = guarded_join(text.toDF("a", "x"), cand, ["a"], "inner")
-    cand = guarded_join(text.toDF("b", "y"), cand, ["b"], "inner").select("a", "b", "x", "y", "seeds")
+    sa = suffix_array(shared_suffixes(texts, share, span), share, span, depth)
+    side = lambda flag, c: sa.where(f"meet and {flag}").select("iv", F.col("id").alias(c), F.col("n").alias(f"n{c}"))
+    fits = F.least("na", "nb") >= share * F.greatest("na", "nb") - 1e-9
+    cand = written(salted_join(side("tr", "a"), side("ev", "b"), ["iv"]).where((F.col("a") != F.col("b")) & fits).select("a", "b").distinct())
+    whole = sa.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", "ids"))).alias("s")).select("id", F.col("s.i").alias("at"), F.flatten("s.ids").alias("ids")).join(texts.select("id", "sizes"), "id")
+    whole = written(whole)
+    named = lambda c: whole.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("at", "ids", "sizes")])
+    full = salted_join(salted_join(cand, named("a"), ["a"]), named("b"), ["b"])
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             out = []
-            for a, b, x, y, seeds in zip(p["a"], p["b"], p["x"], p["y"], p["seeds"]):
-                x, y = list(x), list(y)
-                m = lcs_length(x, y)
-                if m >= share * max(len(x), len(y)):
-                    cx, cy = span_coverage(x, y, [(s["i"], s["j"]) for s in seeds])
-                    out.append((bytes(a), bytes(b), m, max(cx, m) / len(x), max(cy, m) / len(y)))
+            for a, b, pa, ia, x, pb, ib, y in zip(p["a"], p["b"], p["at_a"], p["ids_a"], p["sizes_a"], p["at_b"], p["ids_b"], p["sizes_b"]):
+                na, nb = len(x), len(y)
+                m = math.ceil(share * max(na, nb) - 1e-9)
+                ca, cb = shared_spans(pa, ia.reshape(-1, depth), pb, ib.reshape(-1, depth), na, nb, span)
+                if span > 1 and min(ca, cb) < 3 * m - na - nb:
+                    continue
+                same = lcs_length(x.tolist(), y.tolist())
+                if same >= m:
+                    out.append((a, b, same, ca / na, cb / nb))
             yield pd.DataFrame(out, columns=["a", "b", "same", "cover_a", "cover_b"])
 
-    near = cand.mapInPandas(check, "a binary, b binary, same int, cover_a double, cover_b double")
-    same = classes.where("tr and ev").select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.col("n").alias("same"), F.lit(1.0).alias("cover_a"), F.lit(1.0).alias("cover_b"))
-    return near.unionByName(same)
+    return full.mapInPandas(check, "a bigint, b bigint, same int, cover_a double, cover_b double")
 
 
-def cross_split_pairs(clips: DataFrame, share: float = 0.75, span: int = 2, hot: int = 1 << 16) -> DataFrame:
+@dataclass
+class Overlap:
+    """``lines`` (``manifest_pos, source_id, split, key, cls``), ``texts`` and ``matches`` (``cls_a, cls_b, same, cover_a, cover_b``), all written."""
+
+    lines: DataFrame
+    texts: DataFrame
+    matches: DataFrame
+
+
+def overlap(clips: DataFrame, share: float = 0.75, depth: int = DEPTH) -> Overlap:
+    """Texts of train and of evaluation records that show the same footage, with the coverage of each by the spans they share.
+
+    Two texts match if ``share`` (over two thirds) of the longer one's frames are the same, in order. Texts longer than 1 / (3 share - 2) frames
+    (four, at 0.75) then have a common span of two; pairs of shorter ones are found by single frames. Equal texts match whole.
+    """
+    if not 2 / 3 < share <= 1:
+        raise ValueError("share must be over two thirds")
+    all_ = manifest_lines(clips)
+    lines, texts = written(all_.drop("sizes")), texts_of(all_)
+    near = matches_of(texts, share, 2, depth)
+    short = texts.where(F.col("n") <= math.floor(1 / (3 * share - 2) + 1e-9))
+    if not short.limit(1).isEmpty():
+        near = near.unionByName(matches_of(written(short), share, 1, depth)).dropDuplicates(["a", "b"])
+    near = written(near)
+    name = lambda c: texts.select(F.col("id").alias(c), F.col("cls").alias(f"cls_{c}"))
+    near = salted_join(salted_join(near, name("a"), ["a"]), name("b"), ["b"]).drop("a", "b")
+    one = F.lit(1.0)
+    same = texts.where("tr and ev").select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b"), F.col("n").alias("same"), one.alias("cover_a"), one.alias("cover_b"))
+    return Overlap(lines, texts, written(near.unionByName(same)))
+
+
+def pairs_of(o: Overlap) -> DataFrame:
+    """``train_pos, eval_pos`` of matching records; hot clip ids and hot texts are split over tasks."""
+    tr = lambda *c: o.lines.where("split = 'train'").select(F.col("manifest_pos").alias("train_pos"), *c)
+    ev = lambda *c: o.lines.where("split <> 'train'").select(F.col("manifest_pos").alias("eval_pos"), *c)
+    by_key = salted_join(tr("key").where("key is not null"), ev("key"), ["key"]).select("train_pos", "eval_pos")
+    texts = salted_join(tr(F.col("cls").alias("cls_a")).where("cls_a is not null"), o.matches.select("cls_a", "cls_b"), ["cls_a"]).select("train_pos", "cls_b")
+    by_text = salted_join(texts, ev(F.col("cls").alias("cls_b")), ["cls_b"]).select("train_pos", "eval_pos")
+    return by_key.unionByName(by_text).distinct()
+
+
+def cross_split_pairs(clips: DataFrame, **options) -> DataFrame:
     """Pairs of one train record and one validation or test record of the same footage, ``train_pos, eval_pos``.
 
-    The same: equal clip id apart from spelling, or at least ``share`` of the longer clip's frames the same, in order, by
+    The same: equal clip id apart from spelling, or at least three quarters of the longer clip's frames the same, in order, by
     stored size. Every listed line counts. A record without clip id or without offsets can match by the other alone; a record of no split,
     or with neither, is in no pair. An empty table gives an empty result.
     """
-    lines = manifest_lines(clips)
-    tr = lambda *c: lines.where("split = 'train'").select(F.col("manifest_pos").alias("train_pos"), *c)
-    ev = lambda *c: lines.where("split <> 'train'").select(F.col("manifest_pos").alias("eval_pos"), *c)
-    by_key = tr("key").where("key is not null").join(ev("key"), "key").select("train_pos", "eval_pos")
-    texts = matching_texts(lines, share, span, hot).select("a", "b")
-    by_text = texts.join(tr(F.col("cls").alias("a")), "a").join(ev(F.col("cls").alias("b")), "b").select("train_pos", "eval_pos")
-    return by_key.unionByName(by_text).distinct()
+    return pairs_of(overlap(clips, **options))
+
+
+def coverage_of(o: Overlap) -> DataFrame:
+    """One row per evaluation record with frames: ``manifest_pos, split, source_id, frames, matching_texts, same, coverage``.
+
+    ``coverage`` is the largest part of the record that one train text covers by shared spans, ``same`` the most frames in order that a
+    matching train text has in common with it (both 0 without such a text).
+    """
+    best = o.matches.groupBy(F.col("cls_b").alias("cls")).agg(F.count("*").alias("k"), F.max("same").alias("s"), F.max("cover_b").alias("c"))
+    ev = o.lines.where("split <> 'train' and cls is not null")
+    d = salted_join(salted_join(ev, o.texts.select("cls", "n"), ["cls"]), best, ["cls"], "left")
+    return d.select("manifest_pos", "split", "source_id", F.col("n").alias("frames"), F.coalesce("k", F.lit(0)).alias("matching_texts"), F.coalesce("s", F.lit(0)).alias("same"), F.round(F.coalesce("c", F.lit(0.0)), 6).alias("coverage"))
+
+
+def record_coverage(clips: DataFrame, **options) -> DataFrame:
+    return coverage_of(overlap(clips, **options))
 
 
 def overlap_report(clips: DataFrame, **options) -> DataFrame:
-    """Per evaluation split and source: records, records with a train copy, pairs, and train records involved."""
-    pairs = cross_split_pairs(clips, **options)
-    lines = manifest_lines(clips).where("split <> 'train'").select("manifest_pos", "split", "source_id")
-    per = pairs.groupBy(F.col("eval_pos").alias("manifest_pos")).agg(F.count("*").alias("n"))
-    return lines.join(per, "manifest_pos", "left").groupBy("split", "source_id").agg(
-        F.count("*").alias("records"), F.count("n").alias("overlapping_records"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.round(F.count("n") / F.count("*"), 6).alias("overlapping_share")
+    """Per evaluation split and source: records, records with a train copy, pairs, and the mean coverage of its records with frames."""
+    o = overlap(clips, **options)
+    per = pairs_of(o).groupBy(F.col("eval_pos").alias("manifest_pos")).agg(F.count("*").alias("n"))
+    lines = o.lines.where("split <> 'train'").select("manifest_pos", "split", "source_id").join(per, "manifest_pos", "left").join(coverage_of(o).select("manifest_pos", "coverage"), "manifest_pos", "left")
+    return lines.groupBy("split", "source_id").agg(
+        F.count("*").alias("records"), F.count("n").alias("overlapping_records"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.round(F.count("n") / F.count("*"), 6).alias("overlapping_share"), F.round(F.avg("coverage"), 6).alias("mean_coverage")
     )

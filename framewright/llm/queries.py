@@ -27,6 +27,7 @@ def _filled(s, d):
 QUERIES = {
     "p1_found": lambda s, d: overlap.cross_split_pairs(load(s, d, "clips")).selectExpr("least(train_pos, eval_pos) as pos_a", "greatest(train_pos, eval_pos) as pos_b"),
     "p1_overlap_report": lambda s, d: overlap.overlap_report(load(s, d, "clips")),
+    "p1_coverage": lambda s, d: overlap.record_coverage(load(s, d, "clips")),
     "p3_daily_percentiles": lambda s, d: percentiles.daily_percentiles(load(s, d, "clip_quality_stats")),
     "p3_monthly_percentiles": lambda s, d: percentiles.span_percentiles(percentiles.daily_sketches(load(s, d, "clip_quality_stats")), F.trunc("day", "month")),
     "p4_found": lambda s, d: splits.split_groups(load(s, d, "clips"), load(s, d, "sources")),

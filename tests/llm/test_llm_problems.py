@@ -34,10 +34,10 @@ def test_lcs_bits():
         assert overlap.lcs_length(x, y) == lcs(x, y)
 
 
-@pytest.mark.parametrize("hot", [0, 3, 1 << 16])
-def test_overlaps_against_brute_force(spark, hot):
-    """Small alphabet and few frames, so that ties, chance matches and short clips abound; ``hot`` sends prefixes the exact other way."""
-    r = random.Random(hot)
+@pytest.mark.parametrize("depth", [3, 16])
+def test_overlaps_against_brute_force(spark, depth):
+    """Small alphabet and few frames, so that ties, chance matches and short clips abound."""
+    r = random.Random(depth)
     rows = []
     for i in range(90):
         z = [r.randint(1, 6) for _ in range(r.choice([1, 2, 3, 4, 5, 8, 12]))]
@@ -59,10 +59,67 @@ def test_overlaps_against_brute_force(spark, hot):
                 near = x[5] and y[5] and lcs(x[5], y[5]) >= 0.75 * max(len(x[5]), len(y[5]))
                 if (kx is not None and kx == ky) or near:
                     want.add((i, j))
-    got = {(p.train_pos, p.eval_pos) for p in overlap.cross_split_pairs(clips(spark, rows), hot=hot).collect()}
+    got = {(p.train_pos, p.eval_pos) for p in overlap.cross_split_pairs(clips(spark, rows), depth=depth).collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_suffix_array(spark, parts, monkeypatch):
+    """Intervals over range borders, common prefixes by interval ids, and coverage, against the texts themselves."""
+    r = random.Random(parts)
+    rows = [[r.randint(1, 3) for _ in range(r.randint(5, 14))] for _ in range(40)]
+    rows = [list(x) for x in sorted({tuple(x) for x in rows})]
+    texts = spark.createDataFrame([(i, len(z), i % 2 == 0, i % 2 == 1, z) for i, z in enumerate(rows)], "id bigint, n int, tr boolean, ev boolean, sizes array<bigint>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        sa = overlap.suffix_array(overlap.shared_suffixes(texts, 0.75, 2), 0.75, 2, 6).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def common(x, y):
+        n = 0
+        while n < min(len(x), len(y), 6) and x[n] == y[n]:
+            n += 1
+        return n
+
+    assert len(sa) > 200
+    for x in sa[:60]:
+        for y in (y for y in sa if (y.id, y.i) != (x.id, x.i)):
+            n = common(rows[x.id][x.i :], rows[y.id][y.i :])
+            assert sum(a == b for a, b in zip(x.ids, y.ids)) == n and (x.iv == y.iv) == (n >= 2)
+    by = {}
+    for x in sa:
+        by.setdefault(x.id, []).append((x.i, x.ids))
+    got = sorted(by)[:2]
+    a, b = (sorted(by[i]) for i in got)
+    ca, cb = overlap.shared_spans(np.array([i for i, _ in a]), np.array([d for _, d in a]), np.array([i for i, _ in b]), np.array([d for _, d in b]), len(rows[got[0]]), len(rows[got[1]]), 2)
+    grams = lambda z: {tuple(z[i : i + 2]) for i in range(len(z) - 1)}
+    both = grams(rows[got[0]]) & grams(rows[got[1]])
+    assert [ca, cb] == [len({j for i in range(len(z) - 1) if tuple(z[i : i + 2]) in both for j in (i, i + 1)}) for z in (rows[got[0]], rows[got[1]])]
+
+
+def test_coverage_decides_and_is_reported(spark):
+    z = list(range(100, 120))
+    rows = [("a", "s", "train", None, None, z), ("b", "u", "val", None, None, z[:8] + [7] + z[8:18]), ("c", "u", "test", None, None, z[:5] + list(range(15))), ("d", "u", "test", None, None, z), ("e", "u", "test", None, None, None), ("f", "s", "train", None, None, [1, 2])]
+    r = {x.manifest_pos: x for x in overlap.record_coverage(clips(spark, rows)).collect()}
+    assert set(r) == {1, 2, 3} and (r[1].frames, r[1].same, r[1].matching_texts) == (19, 18, 1) and r[1].coverage == round(18 / 19, 6)
+    assert (r[2].coverage, r[2].same, r[3].coverage, r[3].same) == (0, 0, 1, 20)
+
+
+def test_a_common_opening_makes_no_pairs(spark):
+    """Every clip opens alike: by the rarest places none of them meets another one."""
+    r = random.Random(8)
+    rows = [(f"c{i}", "s", "train" if i % 2 else "val", None, None, [1, 2, 3] + [r.randint(10, 10**6) for _ in range(30)]) for i in range(200)]
+    texts = overlap.texts_of(overlap.manifest_lines(clips(spark, rows)))
+    assert overlap.shared_suffixes(texts, 0.75, 2).count() == 0
+    rows = [(*x[:5], [1, 2, 3, 4, 5] + x[5][3:18] + [6, 7, 8]) for x in rows]
+    texts = overlap.texts_of(overlap.manifest_lines(clips(spark, rows)))
+    sa = overlap.suffix_array(overlap.shared_suffixes(texts, 0.75, 2), 0.75, 2).groupBy("meet").count().collect()
+    assert {x["meet"]: x["count"] for x in sa} == {True: 400, False: 800}  # of six places each, the four commonest stay out (a match has five)
+
+
 def test_overlap_edges(spark):
     assert overlap.cross_split_pairs(clips(spark, []).where("false")).count() == 0
     r = overlap.overlap_report(clips(spark, [("a", "s", "train", None, None, [1, 2, 3, 4, 5]), ("b", "u", "val", None, None, [1, 2, 3, 4, 9]), ("c", "u", "val", None, None, [7])])).collect()

@@ -227,7 +227,7 @@ def preview(texts: Column, n: int = 160) -> Column:
 
 
 def dimension_names() -> list[str]:
-    """Names of the 116 numbers of a frame vector."""
-    axes, rot, tips = ["x", "y", "z"], [f"rot6d_{i}" for i in range(6)], [f"tip{t}_{a}" for t in range(5) for a in "xyz"]
-    state = [f"{h}_wrist_{a}" for h in ("left", "right") for a in axes] + [f"{h}_{r}" for h in ("left", "right") for r in rot] + [f"{h}_{t}" for h in ("left", "right") for t in tips]
-    return [f"state_{s}" for s in state] + [f"action_{s}" for s in state] + [f"w2c_{r}{c}" for r in range(4) for c in range(4)] + ["fx", "fy", "cx", "cy"]
+    """Names of the 116 numbers of a frame vector (fixed values, spelled by rule)."""
+    wrist = [f"{h}_wrist.{a}" for h in ("left", "right") for a in "xyz"] + [f"{h}_root_rot6d.{i}" for h in ("left", "right") for i in range(6)]
+    tips = [f"{h}_fingertip{t}.{a}" for h in ("left", "right") for t in range(5) for a in "xyz"]
+    return [f"{k}.{n}" for k in ("state", "action") for n in wrist + tips] + [f"camera_w2c.r{r}c{c}" for r in range(4) for c in range(4)] + [f"camera_intrinsic.{k}" for k in ("fx", "fy", "cx", "cy")]

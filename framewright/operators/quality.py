@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import geometry as G
 from framewright.functions.text import instruction_flags
+from framewright.session import checkpointed, fits_broadcast, written
 
 HANDS = (("left", 1), ("right", 2))
 AXES = ("x", "y", "z")
@@ -100,7 +101,7 @@ def clip_metrics(frames: DataFrame, past: int | None = 180, future: int = 30, se
 
     ``past`` None turns the wrist window off. Presence ratio and steps default to 0, the in-frame ratio to 1, extents to 0.
     """
-    flags = frame_flags(frames)
+    flags = written(frame_flags(frames))  # four aggregations read it
     ins = instruction_flags(F.col("instruction"), F.col("instruction_num")) if "instruction" in frames.columns else None
     d = step_metrics(flags)
     count = lambda c, n: F.count_if(c).cast("bigint").alias(n)
@@ -141,65 +142,93 @@ def finite(c: Column) -> Column:
     return F.when(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")), c.cast("double"))
 
 
+def exact_percentiles(df: DataFrame, columns: list[str], percents: list[float], by: list[str] | None = None) -> DataFrame:
+    """Per ``by`` and column ``metric, n, min, max, p``: exact percentiles of the finite values, linear between neighbours.
+
+    No task holds a column: equal values are counted first (map-side combined, so a value that a third of all rows have is one row), the
+    counts are cut into ranges of values, and a running sum with an offset a range tells which ranks a value takes.
+    """
+    by = by or []
+    keys = [*by, "metric"]
+    long = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), finite(F.col(c)).alias("x")) for c in columns])).alias("r"))
+    cells = long.where("r.x is not null").groupBy(*by, F.col("r.metric").alias("metric"), F.col("r.x").alias("x")).agg(F.count("*").alias("c"))
+    cells = checkpointed(cells.repartitionByRange(*keys, "x").withColumn("__p", F.spark_partition_id()))
+    part = cells.groupBy("__p", *keys).agg(F.sum("c").alias("__c"), F.min("x").alias("__lo"), F.max("x").alias("__hi"))
+    whole = Window.partitionBy(*keys)
+    base = checkpointed(part.select("__p", *keys, (F.sum("__c").over(whole.orderBy("__p")) - F.col("__c")).alias("__b"), F.sum("__c").over(whole).alias("n"), F.min("__lo").over(whole).alias("min"), F.max("__hi").over(whole).alias("max")))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("__p", *keys)]
+    side = F.broadcast(base) if fits_broadcast(base) else base
+    w = Window.partitionBy("__p", *keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    d = cells.withColumn("last", F.sum("c").over(w)).alias("a").join(side.alias("b"), same).select(*[f"a.{k}" for k in keys], "x", "n", "min", "max", (F.col("__b") + F.col("last") - F.col("c")).alias("first"), (F.col("__b") + F.col("last") - 1).alias("last"))
+    at = [(F.col("n") - 1) * float(p) for p in percents]
+    rank = lambda r: F.max(F.when((F.col("first") <= r) & (r <= F.col("last")), F.col("x")))
+    g = d.groupBy(*keys, "n", "min", "max").agg(*[y for i, t in enumerate(at) for y in (rank(F.floor(t)).alias(f"__a{i}"), rank(F.ceil(t)).alias(f"__z{i}"))])
+    between = [F.col(f"__a{i}") + (F.col(f"__z{i}") - F.col(f"__a{i}")) * (t - F.floor(t)) for i, t in enumerate(at)]
+    return g.select(*keys, "n", "min", "max", F.array(*between).alias("p"))
+
+
+def one_row(percentiles: DataFrame, columns: list[str]) -> DataFrame:
+    """``exact_percentiles`` of whole columns as one row, the array of each under its name (null without finite value)."""
+    return percentiles.groupBy().agg(*[F.max(F.when(F.col("metric") == c, F.col("p"))).alias(c) for c in columns])
+
+
 def iqr_fences(df: DataFrame, columns: list[str], multiplier: float = 2.5, by: list[str] | None = None) -> DataFrame:
     """Per column ``metric, n, q1, q3, iqr, lo, hi, min, max``: exact linear quartiles of the finite values and their fences.
 
-    One aggregation over all columns; a column without finite value has no row.
+    A column without finite value has no row.
     """
-    by = by or []
-    q = F.array(F.lit(0.25), F.lit(0.75))
-    g = df.groupBy(*by).agg(*[F.struct(F.count(finite(F.col(c))).alias("n"), F.percentile(finite(F.col(c)), q).alias("q"), F.min(finite(F.col(c))).alias("min"), F.max(finite(F.col(c))).alias("max")).alias(c) for c in columns])
-    rows = g.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("s")) for c in columns])).alias("r")).where("r.s.n > 0")
-    q1, q3 = F.col("r.s.q")[0], F.col("r.s.q")[1]
-    return rows.select(*by, "r.metric", "r.s.n", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"), (q1 - multiplier * (q3 - q1)).alias("lo"), (q3 + multiplier * (q3 - q1)).alias("hi"), "r.s.min", "r.s.max")
+    rows = exact_percentiles(df, columns, [0.25, 0.75], by)
+    q1, q3 = F.col("p")[0], F.col("p")[1]
+    return rows.select(*(by or []), "metric", "n", q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"), (q1 - multiplier * (q3 - q1)).alias("lo"), (q3 + multiplier * (q3 - q1)).alias("hi"), "min", "max")
 
 
 def metric_percentiles(df: DataFrame, columns: list[str], percents: tuple = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
     """Per column ``metric, n, p50, p90, p95, p99, max`` of the finite values, exact."""
-    arr = F.array(*[F.lit(p) for p in percents])
-    g = df.agg(*[F.struct(F.count(finite(F.col(c))).alias("n"), F.percentile(finite(F.col(c)), arr).alias("p"), F.max(finite(F.col(c))).alias("max")).alias(c) for c in columns])
-    rows = g.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("s")) for c in columns])).alias("r")).where("r.s.n > 0")
-    return rows.select("r.metric", "r.s.n", *[F.col("r.s.p")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(percents)], "r.s.max")
+    rows = exact_percentiles(df, columns, list(percents))
+    return rows.select("metric", "n", *[F.col("p")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(percents)], "max")
 
 
 def axis_bounds(metrics: DataFrame, prefix: str, multiplier: float = 2.5, cap: float | None = 1.5) -> DataFrame:
     """One row ``lower_x, upper_x ..``: fence below the clips' minima and above their maxima, within plus or minus ``cap``."""
-    cols = {a: (f"min_camera_space_{prefix}_{a}", f"max_camera_space_{prefix}_{a}") for a in AXES}
-    q = F.array(F.lit(0.25), F.lit(0.75))
-    g = metrics.agg(*[F.percentile(finite(F.col(c)), q).alias(c) for pair in cols.values() for c in pair])
+    names = _axis_metrics(prefix)
+    return one_row(exact_percentiles(metrics, names, [0.25, 0.75]), names).select(*_axis_fences(prefix, multiplier, cap))
+
+
+def _axis_metrics(prefix: str) -> list[str]:
+    return [f"{side}_camera_space_{prefix}_{a}" for a in AXES for side in ("min", "max")]
+
+
+def _axis_fences(prefix: str, multiplier: float, cap: float | None, out: str = "") -> list[Column]:
     low = lambda c: F.col(c)[0] - multiplier * (F.col(c)[1] - F.col(c)[0])
     high = lambda c: F.col(c)[1] + multiplier * (F.col(c)[1] - F.col(c)[0])
     bound = (lambda f, x, c: x) if cap is None else (lambda f, x, c: f(x, F.lit(float(c))))
-    return g.select(*[y for a, (lo, hi) in cols.items() for y in (bound(F.greatest, low(lo), -(cap or 0)).alias(f"lower_{a}"), bound(F.least, high(hi), cap).alias(f"upper_{a}"))])
+    return [y for a in AXES for y in (bound(F.greatest, low(f"min_camera_space_{prefix}_{a}"), -(cap or 0)).alias(f"{out}lower_{a}"), bound(F.least, high(f"max_camera_space_{prefix}_{a}"), cap).alias(f"{out}upper_{a}"))]
 
 
 def thresholds(metrics: DataFrame, criteria: dict) -> DataFrame:
     """One row of resolved thresholds over the clips with a usable frame.
 
-    ``method`` ``iqr_bounds`` (default) gives axis bounds, ``percentile_abs`` scales a percentile of the largest coordinates; manual
-    caps (``max_camera_space_wrist_abs`` ..) win. The two fences of the mean camera steps are always resolved; ``auto`` False resolves
-    nothing unless a manual cap is given.
+    ``camera_space_auto_method`` ``iqr_bounds`` (default) gives axis bounds, ``percentile_abs`` scales a percentile of the largest coordinates;
+    manual caps (``max_camera_space_wrist_abs`` ..) win. The two fences of the mean camera steps are always resolved;
+    ``use_auto_camera_space_thresholds`` False resolves nothing unless a manual cap is given. All percentiles come from one pass.
     """
     use = metrics.where("frames_kept_candidate > 0")
     manual = {n: criteria.get(f"max_camera_space_{n}_abs") for n in ("wrist", "hand")}
     any_manual = any(v is not None for v in manual.values())
     null = F.lit(None).cast("double")
-    if not criteria.get("auto", True) and not any_manual:
+    if not criteria.get("use_auto_camera_space_thresholds", True) and not any_manual:
         return metrics.sparkSession.range(1).select(*[null.alias(c) for c in threshold_columns()])
     m, k = float(criteria.get("episode_camera_iqr_multiplier", 2.5)), float(criteria.get("camera_space_iqr_multiplier", 2.5))
     cap = criteria.get("camera_space_axis_abs_cap", 1.5)
-    q = F.array(F.lit(0.25), F.lit(0.75))
     p, s = float(criteria.get("camera_space_abs_percentile", 99.0)) / 100, float(criteria.get("camera_space_abs_scale", 2.5))
-    cam = use.agg(*[F.percentile(finite(F.col(f"mean_camera_{x}_step")), q).alias(x) for x in ("translation", "rotation")], *[(F.percentile(f"max_camera_space_{n}_abs", p) * s).alias(n) for n in manual])
-    fence = [y for x in ("translation", "rotation") for y in ((F.col(x)[0] - m * (F.col(x)[1] - F.col(x)[0])).alias(f"episode_{x}_lower"), (F.col(x)[1] + m * (F.col(x)[1] - F.col(x)[0])).alias(f"episode_{x}_upper"))]
-    iqr = not any_manual and criteria.get("method", "iqr_bounds") == "iqr_bounds"
-    caps = [(null if iqr else F.lit(float(v)) if v is not None else F.col(n)).alias(f"{n}_abs") for n, v in manual.items()]
-    row = cam.select(*fence, *caps)
-    for n in manual:
-        b = axis_bounds(use, n, k, cap) if iqr else None
-        names = [f"{side}_{a}" for a in AXES for side in ("lower", "upper")]
-        row = row.crossJoin(b.select(*[F.col(c).alias(f"{n}_{c}") for c in names])) if b is not None else row.select("*", *[null.alias(f"{n}_{c}") for c in names])
-    return row.select(*threshold_columns())
+    iqr = not any_manual and criteria.get("camera_space_auto_method", "iqr_bounds") == "iqr_bounds"
+    names = [f"mean_camera_{x}_step" for x in ("translation", "rotation")] + ([c for n in manual for c in _axis_metrics(n)] if iqr else [f"max_camera_space_{n}_abs" for n in manual])
+    row = one_row(exact_percentiles(use, names, [0.25, 0.75, p]), names)
+    q = lambda x, i: F.col(f"mean_camera_{x}_step")[i]
+    fence = [y for x in ("translation", "rotation") for y in ((q(x, 0) - m * (q(x, 1) - q(x, 0))).alias(f"episode_{x}_lower"), (q(x, 1) + m * (q(x, 1) - q(x, 0))).alias(f"episode_{x}_upper"))]
+    caps = [(null if iqr else F.lit(float(v)) if v is not None else F.col(f"max_camera_space_{n}_abs")[2] * s).alias(f"{n}_abs") for n, v in manual.items()]
+    sides = [y for n in manual for y in (_axis_fences(n, k, cap, f"{n}_") if iqr else [null.alias(f"{n}_{side}_{a}") for a in AXES for side in ("lower", "upper")])]
+    return row.select(*fence, *caps, *sides).select(*threshold_columns())
 
 
 def threshold_columns() -> list[str]:
@@ -218,12 +247,13 @@ def bounds_exceeded(prefix: str, lower: dict, upper: dict) -> Column:
 def quality_rules(columns: list[str], criteria: dict) -> list[tuple[str, Column]]:
     """Reasons, in the order in which they are listed, with their conditions on clip metrics joined with one threshold row.
 
-    A cap in ``criteria`` that is absent or None never fires; equality is kept. Metrics the table doesn't have never fire.
+    A cap in ``criteria`` that is absent or None never fires; equality is kept. Metrics the table doesn't have never fire. Instructions are
+    required of every frame unless ``hard_rules.require_instruction_every_frame`` is false.
     """
     c, get = F.col, criteria.get
     over = lambda m, k: c(m) > float(get(k)) if get(k) is not None else None
     under = lambda m, k: c(m) < float(get(k)) if get(k) is not None else None
-    need = bool(get("require_instruction", False))
+    need = bool((get("hard_rules") or {}).get("require_instruction_every_frame", True))
     cap = get("camera_space_axis_abs_cap", 1.5)
     sided = lambda n: bounds_exceeded(n, {a: c(f"{n}_lower_{a}") for a in AXES}, {a: c(f"{n}_upper_{a}") for a in AXES})
     capped = lambda n: (c(f"{n}_lower_x").isNull() & bounds_exceeded(n, dict.fromkeys(AXES, F.lit(-float(cap))), dict.fromkeys(AXES, F.lit(float(cap))))) if cap is not None else None
@@ -231,8 +261,8 @@ def quality_rules(columns: list[str], criteria: dict) -> list[tuple[str, Column]
         *[(k, f"{k}_frames", c(f"{k}_frames") > 0) for k in ("incomplete_sample", "invalid_meta", "invalid_lowdim", "invalid_rot6d", "invalid_extrinsic", "invalid_intrinsic", "nonfinite_lowdim")],
         *[(f"{k}_frame", f"{k}_frames", c(f"{k}_frames") > 0 if need else None) for k in ("missing_instruction", "empty_instruction", "instruction_num_mismatch")],
         *[(f"fatal_visible_{h}_severe_offscreen", f"fatal_visible_{h}_severe_offscreen_frames", c(f"fatal_visible_{h}_severe_offscreen_frames") > 0) for h, _ in HANDS],
-        *[(f"visible_{h}_inframe_ratio_below_min", f"visible_{h}_frames", (c(f"visible_{h}_frames") > 0) & under(f"visible_{h}_any_point_inframe_ratio", "min_inframe_ratio") if get("min_inframe_ratio") is not None else None) for h, _ in HANDS],
-        *[(f"visible_{h}_out_of_frame_streak_exceeded", f"max_visible_{h}_out_of_frame_streak", over(f"max_visible_{h}_out_of_frame_streak", "max_out_of_frame_streak")) for h, _ in HANDS],
+        *[(f"visible_{h}_inframe_ratio_below_min", f"visible_{h}_frames", (c(f"visible_{h}_frames") > 0) & under(f"visible_{h}_any_point_inframe_ratio", "min_visible_hand_any_point_inframe_ratio") if get("min_visible_hand_any_point_inframe_ratio") is not None else None) for h, _ in HANDS],
+        *[(f"visible_{h}_out_of_frame_streak_exceeded", f"max_visible_{h}_out_of_frame_streak", over(f"max_visible_{h}_out_of_frame_streak", "max_visible_hand_all_points_out_of_frame_streak")) for h, _ in HANDS],
         ("instruction_num_below_min", "instruction_num_max", under("instruction_num_max", "min_instruction_num")),
         ("presence_ratio_below_min", "presence_ratio", under("presence_ratio", "min_presence_ratio")),
         *[(f"{k}_step_exceeded", f"max_{k}_step", over(f"max_{k}_step", f"max_{k}_step")) for k in ("hand_translation", "finger_translation", "camera_translation", "camera_rotation", "wrist_rotation")],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import geometry as G
 from framewright.functions.text import dimension_names, instruction_flags
+from framewright.operators.quality import exact_percentiles
 from framewright.operators.windows import episode_runs, first_examples
 
 #: Issues that drop a sample; an image that can't be decoded is an issue only.
@@ -16,8 +17,9 @@ HARD = ("missing_image", "missing_lowdim", "missing_mano", "missing_meta", "inva
 def dimension_stats(df: DataFrame, vector: str, names: bool = False) -> DataFrame:
     """Per place of a vector: ``dim, n, min, max, mean, q01, q99`` (exact); with ``names`` the 116 names."""
     d = df.select(F.posexplode(vector).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    g = d.groupBy("dim").agg(F.count("x").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.percentile("x", F.array(F.lit(0.01), F.lit(0.99))).alias("q"))
-    g = g.select("dim", "n", "min", "max", "mean", F.col("q")[0].alias("q01"), F.col("q")[1].alias("q99"))
+    q = exact_percentiles(d, ["x"], [0.01, 0.99], ["dim"]).select("dim", F.col("p")[0].alias("q01"), F.col("p")[1].alias("q99"))
+    g = d.groupBy("dim").agg(F.count("x").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"))
+    g = g.join(q, "dim", "left").select("dim", "n", "min", "max", "mean", "q01", "q99")
     if not names:
         return g
     return g.withColumn("name", F.try_element_at(F.array(*[F.lit(n) for n in dimension_names()]), F.col("dim") + 1))

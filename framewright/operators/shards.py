@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.session import guarded_join, ranked
+
 
 def ordered_fold(df: DataFrame, order: str, weight: str, out: str, step: Callable) -> DataFrame:
     """Number rows in ``order`` by a sequential rule over (state, weight) -> (state, number).
@@ -96,8 +98,8 @@ def locality_order(videos: DataFrame, path: str, work: Column, shard: str) -> Da
     """``rank`` of videos: shards of most work first, then by shard, by work, by path; videos without shard count alone."""
     s = F.coalesce(F.col(shard), F.concat(F.lit("\x00"), F.col(path)))
     d = videos.withColumn("work", work).withColumn("__s", s)
-    d = d.join(d.groupBy("__s").agg(F.sum("work").alias("shard_work")), "__s")
-    return d.withColumn("rank", F.row_number().over(Window.orderBy(F.col("shard_work").desc(), "__s", F.col("work").desc(), path)) - 1).drop("__s")
+    d = guarded_join(d, d.groupBy("__s").agg(F.sum("work").alias("shard_work")), ["__s"], "inner")
+    return ranked(d, [(F.col("shard_work"), True), (F.col("__s"), False), (F.col("work"), True), (F.col(path), False)], "rank").drop("__s")
 
 
 def uniform_indices(n: Column, k: int, truncate: bool = False) -> Column:
@@ -111,11 +113,7 @@ def uniform_indices(n: Column, k: int, truncate: bool = False) -> Column:
 
 def numbered(kept: DataFrame, pos: str, out: str = "episode_index") -> DataFrame:
     """Episodes numbered from 0 in ``pos`` order without one global sort: numbers within ranges, plus the counts of the ranges before."""
-    d = kept.repartitionByRange(F.col(pos)).sortWithinPartitions(pos).withColumn("__p", F.spark_partition_id())
-    d = d.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(pos)))
-    n = d.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = n.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__b"))
-    return d.join(before, "__p").withColumn(out, F.col("__b") + F.col("__i") - 1).drop("__p", "__i", "__b")
+    return ranked(kept, [(F.col(pos), False)], out)
 
 
 def head(df: DataFrame, pos: str, n: int | None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import geometry as G
 from framewright.operators import annotation, quality, shards
-from framewright.session import checkpointed
+from framewright.session import checkpointed, guarded_join
 
 #: Stages in their order, and names that stand for several.
 STAGES = ("clip", "preflight", "prepare", "annotate", "detect_track", "motion", "slam", "infiller", "filter", "build", "validate")
@@ -131,13 +131,13 @@ def with_answers(df: DataFrame, prompt: str, call: Callable[[str], str], tries:
     return df.mapInPandas(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", answer string, error string")
 
 
-def filter_clips(manifest: DataFrame, frames: DataFrame, criteria: dict | None = None) -> tuple[DataFrame, DataFrame]:
+def filter_clips(manifest: DataFrame, frames: DataFrame, criteria: dict | None = None, past: int | None = 180, future: int = 30) -> tuple[DataFrame, DataFrame]:
     """(manifest with ``reasons`` and ``keep``, report) of the quality filter.
 
     Metrics are computed once and written; thresholds are one aggregate over them, then each clip is judged. A clip without frames can't be built:
     ``empty_frames``.
     """
-    metrics = checkpointed(quality.clip_metrics(frames))
+    metrics = checkpointed(quality.clip_metrics(frames, past, future))
     judged = quality.decide(metrics, criteria or {}).select("clip_id", "reasons")
     d = manifest.join(judged, "clip_id", "left").withColumn("reasons", F.coalesce("reasons", F.array(F.lit("empty_frames"))))
     d = d.withColumn("keep", F.size("reasons") == 0)
@@ -213,10 +213,10 @@ def keyframe_depths(keyframes: DataFrame, depths: DataFrame, key: list[str]) ->
 
 
 def aligned_depths(depths: DataFrame, clip: str, index: str, expected: DataFrame) -> DataFrame:
-    """Clips whose depth rows are exactly the first ``n_frames`` frames: ``clip, ok``."""
-    g = depths.groupBy(clip).agg(F.count("*").alias("n"), F.countDistinct(index).alias("d"), F.min(index).alias("lo"), F.max(index).alias("hi"))
-    d = expected.join(g, clip, "left")
-    return d.select(clip, F.coalesce((F.col("n") == F.col("n_frames")) & (F.col("d") == F.col("n")) & (F.col("lo") == 0) & (F.col("hi") == F.col("n") - 1), F.lit(False)).alias("ok"))
+    """Clips whose depth rows hold each of the first ``n_frames`` frames once: ``clip, ok``. Frames beyond those are ignored."""
+    d = guarded_join(depths, expected.select(clip, "n_frames"), [clip], "inner").where(F.col(index) < F.col("n_frames"))
+    g = d.groupBy(clip).agg(F.count("*").alias("n"), F.countDistinct(index).alias("d"), F.min(index).alias("lo"))
+    return expected.join(g, clip, "left").select(clip, F.coalesce((F.col("n") == F.col("n_frames")) & (F.col("d") == F.col("n")) & (F.col("lo") == 0), F.lit(False)).alias("ok"))
 
 
 def pose_arrays(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:

@@ -333,7 +333,7 @@ def metric_percentiles(s, d):
     return r.select("metric", "n", *[F.round(f"p{p}", 6).alias(f"p{p}") for p in (50, 90, 95, 99)], "max")
 
 
-CAPS = {"max_hand_translation_step": 0.3, "max_finger_translation_step": 0.3, "max_camera_translation_step": 0.2, "max_camera_rotation_step": 0.7, "max_wrist_rotation_step": 0.99, "min_presence_ratio": 0.5, "min_instruction_num": 1, "method": "percentile_abs"}
+CAPS = {"max_hand_translation_step": 0.3, "max_finger_translation_step": 0.3, "max_camera_translation_step": 0.2, "max_camera_rotation_step": 0.7, "max_wrist_rotation_step": 0.99, "min_presence_ratio": 0.5, "min_instruction_num": 1, "camera_space_auto_method": "percentile_abs"}
 
 
 def _metrics(s: SparkSession, d: str) -> DataFrame:
@@ -733,3 +733,12 @@ def box_repair(s, d):
     x = frames(s, d)
     b = x.select("clip", "f", *[F.when(F.col("event_type") == "error", 0.0).otherwise(e).alias(n) for n, e in (("x1", F.col("f") * 1.0), ("y1", F.col("f") * 1.0), ("x2", F.col("f") + F.col("value")), ("y2", F.col("f") + F.col("value")), ("conf", (F.col("event_id") % 10) / 10.0))])
     return solvers.filled_boxes(b, ["clip"], "f")
+
+
+# --- further modules of queries
+
+from framewright.plans import frame_queries  # noqa: E402
+
+for _m in (frame_queries,):
+    QUERIES.update(_m.QUERIES)
+    ORACLES.update(_m.ORACLES)

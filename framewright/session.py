@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,5 +121,20 @@ def guarded_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "le
     return big.join(F.broadcast(small), on, how) if fits_broadcast(small) else salted_join(big, small, on, how)
 
 
+def ranked(df: DataFrame, order: list[tuple[Column, bool]], out: str, weight: str | None = None) -> DataFrame:
+    """Number from 0 (or the sum of ``weight``) of the rows before each row in ``order``, pairs of a column and whether it falls.
+
+    No global sort: rows are cut into ranges, numbered within each, and offset by what the ranges before hold, one row a range.
+    """
+    d = df.withColumns({f"__o{i}": c for i, (c, _) in enumerate(order)})
+    by = [F.col(f"__o{i}").desc() if falls else F.col(f"__o{i}").asc() for i, (_, falls) in enumerate(order)]
+    d = checkpointed(d.repartitionByRange(*by).withColumn("__p", F.spark_partition_id()))
+    one = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    n = d.groupBy("__p").agg(F.sum(one).alias("__n"))
+    before = checkpointed(n.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__b")))
+    w = Window.partitionBy("__p").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    return d.join(F.broadcast(before), "__p").withColumn(out, F.col("__b") + F.coalesce(F.sum(one).over(w), F.lit(0))).drop("__p", "__b", *[f"__o{i}" for i in range(len(order))])
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -230,15 +230,22 @@ def walked_tars(files: DataFrame) -> DataFrame:
     return files.where(F.col("path").rlike(pat)).select("path", F.regexp_extract("path", pat, 1).try_cast("int").alias("factory"), F.regexp_extract("path", pat, 2).try_cast("int").alias("worker"), F.regexp_extract("path", pat, 3).alias("stem"))
 
 
-def decoded_videos(videos: DataFrame, decode: Callable[[str], Iterator[tuple[int, bytes]]], path: str = "media_path") -> DataFrame:
-    """Frames ``clip_id, frame_idx, data`` by an injected decoder (path -> frames), several videos a task."""
+def decoded_videos(videos: DataFrame, decode: Callable[[str], Iterator[tuple[int, bytes]]], path: str = "media_path", batch: int = 64) -> DataFrame:
+    """Frames ``clip_id, frame_idx, data`` by an injected decoder (path -> frames), several videos a task, ``batch`` frames at a time."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = lambda rows: pd.DataFrame(rows, columns=["clip_id", "frame_idx", "data"])
+        held: list[tuple] = []
         for p in batches:
             for c, m in zip(p["clip_id"], p[path]):
                 for i, b in decode(m):
-                    yield pd.DataFrame({"clip_id": [c], "frame_idx": [i], "data": [b]})
+                    held.append((c, i, b))
+                    if len(held) == batch:
+                        yield table(held)
+                        held = []
+        if held:
+            yield table(held)
 
     return videos.select("clip_id", path).mapInPandas(run, "clip_id string, frame_idx bigint, data binary")
 
@@ -279,12 +286,15 @@ def camera_of_clip(poses: DataFrame, clips: DataFrame, default: tuple = (500.0,
     return d.select("clip_id", mode.alias("mode"), F.coalesce(F.when(mode != "identity", F.col("k")), F.array(*[F.lit(x) for x in default])).alias("k"))
 
 
-def skeleton_lines(lines: DataFrame, order: list[int] | None = None) -> DataFrame:
-    """``frame_id, joints`` (array of 21 points) of text lines of 64 numbers; other lines are dropped. ``order`` permutes the joints."""
+#: Places in a skeleton line of the 21 joints in the order wrist, then each finger from its base to its tip.
+SKELETON_ORDER = (0, 1, 6, 7, 8, 2, 9, 10, 11, 3, 12, 13, 14, 4, 15, 16, 17, 5, 18, 19, 20)
+
+
+def skeleton_lines(lines: DataFrame, order: tuple[int, ...] = SKELETON_ORDER) -> DataFrame:
+    """``frame_id, joints`` (array of 21 points, finger by finger) of text lines of 64 numbers; other lines are dropped."""
     n = F.transform(F.split(F.trim("value"), r"\s+"), lambda x: x.try_cast("double"))
     d = lines.select(*[c for c in lines.columns if c != "value"], n.alias("x")).where((F.size("x") == 64) & ~F.exists("x", lambda v: v.isNull()))
-    at = order or list(range(21))
-    return d.select(*[c for c in lines.columns if c != "value"], F.get("x", F.lit(0)).cast("bigint").alias("frame_id"), F.array(*[F.slice("x", 2 + 3 * j, 3) for j in at]).alias("joints"))
+    return d.select(*[c for c in lines.columns if c != "value"], F.get("x", F.lit(0)).cast("bigint").alias("frame_id"), F.array(*[F.slice("x", 2 + 3 * j, 3) for j in order]).alias("joints"))
 
 
 def aligned_rows(skeleton: DataFrame, clips: DataFrame, clip: str = "clip_id") -> DataFrame:

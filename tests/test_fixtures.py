@@ -74,7 +74,7 @@ def test_fences(spark):
 
 def test_equal_to_the_cap_is_kept(spark):
     m = quality.clip_metrics(frames(spark, [("a", 0, vector(0.0), 3, 100, 100), ("a", 1, vector(0.25), 3, 100, 100)]))
-    lim = quality.thresholds(m, {"auto": False})
+    lim = quality.thresholds(m, {"use_auto_camera_space_thresholds": False})
     assert quality.decide(m, {"max_hand_translation_step": 0.25, "camera_space_axis_abs_cap": None}, lim).first().keep
     assert quality.decide(m, {"max_hand_translation_step": 0.2, "camera_space_axis_abs_cap": None}, lim).first().reasons == ["hand_translation_step_exceeded"]
     r = {x.reason: x.clips for x in quality.drop_report(quality.decide(m, {"max_hand_translation_step": 0.2, "camera_space_axis_abs_cap": None}, lim)).collect()}
@@ -85,7 +85,7 @@ def test_auto_thresholds(spark):
     m = quality.clip_metrics(frames(spark, [(f"c{c}", i, vector(0.01 * c * i), 3, 100, 100) for c in range(6) for i in range(3)]))
     row = quality.thresholds(m, {}).first().asDict()
     assert row["wrist_upper_x"] <= 1.5 and row["wrist_abs"] is None and row["episode_translation_lower"] == 0
-    row = quality.thresholds(m, {"method": "percentile_abs"}).first().asDict()
+    row = quality.thresholds(m, {"camera_space_auto_method": "percentile_abs"}).first().asDict()
     assert row["wrist_abs"] == pytest.approx(np.percentile([r.max_camera_space_wrist_abs for r in m.collect()], 99) * 2.5)
     assert quality.decide(m).count() == 6
 

@@ -41,6 +41,7 @@ QUERIES = {
     "p8_shares": lambda s, d: mixing.shares(checkpointed(_drawn(s, d)), load(s, d, "mix_targets")),
     "p9_found": lambda s, d: reading.demanding(_levels(s, d).where("is_english_prose")),
     "p9_levels": _levels,
+    "p9_accuracy": lambda s, d: reading.held_out_accuracy(load(s, d, "documents"), load(s, d, "doc_labels")),
     "p9_profile": lambda s, d: reading.profile(load(s, d, "documents"), checkpointed(_levels(s, d))),
 }
 

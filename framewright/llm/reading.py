@@ -1,61 +1,61 @@
-"""Reading level of each document from vocabulary coverage and sentence complexity, calibrated on rated documents."""
+"""Reading level of each document from vocabulary coverage and sentence complexity, calibrated in SQL on rated documents."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.session import checkpointed
+from framewright.session import checkpointed, guarded_join, written
 
 #: English words that join, subordinate or shift a clause.
 CLAUSE_WORDS = "that which who whom whose whereby although though because whereas whether if unless until while as than how why what when so nor not no had been were was be having would could might ought one it".split()
-#: Frequent short words that tell German and Spanish text from English.
-GERMAN = "der die das und ist nicht den ein eine mit wird auf im am bitte noch zu war".split()
-SPANISH = "la el los las que de en un una se y no al con por es sigue hay luego queda".split()
 #: Endings of derived words (abstract nouns, adverbs, adjectives, technical verbs).
 DERIVED = r"^.{3,}(tion|sion|ment|ity|ness|ance|ence|ism|ology|ic|ical|ous|ive|ly|ised|ized|ates|ating|ated)$"
 SHARES = (0.5, 0.8, 0.95)
-#: Most words of the head of the vocabulary, which is broadcast; only these can be frequent.
-HEAD = 65_536
 #: Shares of a text's length from which it is a data object or a log. At sf0.1 all data objects and logs lie above twice these, and prose at 0.
 KEYS, ASSIGNMENTS = 0.05, 0.3
 FEATURES = ("c50", "c80", "c95", "words_per_sentence", "commas_per_sentence", "clause_share", "word_length", "derived_share", "article_share")
+TAG = r"</?[A-Za-z!][^<>]*+>"
 
 
 def prose_text(text: Column) -> Column:
-    """Text without markup, headings, list numbers and bullets, paths, ids and tokens with digits; lines stay lines."""
-    t = F.regexp_replace(text, r"<[^<>]{1,200}>", "\n")
-    t = F.regexp_replace(t, r"(?m)^\s*#+.*$", " ")
-    t = F.regexp_replace(t, r"(?m)^\s*(\d+[.)]|[-*•])\s+", "")
-    return F.regexp_replace(t, r"\S*[/_\\=\d]\S*", " ")
+    """Text without markup, headings, paths, ids and tokens with digits (so without list numbers too); lines stay lines.
+
+    Every pattern is linear in the text: what a quantifier has taken it never gives back.
+    """
+    t = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG, "\n")).otherwise(text)
+    return F.regexp_replace(t, r"(?m)^[ \t]*+#.*+$|(?<!\S)[^\s/_\\=\d]*+[/_\\=\d]\S*+", " ")
 
 
 def is_prose(text: Column) -> Column:
     """Not a data object (keys are KEYS or more of its length) and not a log (assignments are ASSIGNMENTS or more); markup does not count."""
-    t = F.regexp_replace(text, r"<[^<>]{1,200}>", " ")
-    share = lambda of: 1 - F.length(F.regexp_replace(t, of, "")) / F.greatest(F.length(t), F.lit(1))
-    return (share(r'"\w++"\s*+:') < KEYS) & (share(r"\b\w++=\S++") < ASSIGNMENTS)
+    t = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG, " ")).otherwise(text)
+    taken = lambda of: F.aggregate(F.regexp_extract_all(t, F.lit(of), F.lit(0)), F.lit(0), lambda s, x: s + F.length(x))
+    few = lambda mark, of, most: ~F.contains(text, F.lit(mark)) | (taken(of) < most * F.greatest(F.length(t), F.lit(1)))
+    return few('"', r'"\w++"\s*+:', KEYS) & few("=", r"\b\w++=\S++", ASSIGNMENTS)
 
 
-def is_english(words: Column) -> Column:
-    """Not in German or Spanish, by its words. The ``lang`` column is not consulted: it is null or spelled in several ways."""
-    of = lambda ws: F.size(F.filter(words, lambda w: w.isin(ws)))
-    return (of(GERMAN) < 0.12 * F.size(words)) & (of(SPANISH) < 0.12 * F.size(words))
+def language(lang: Column) -> Column:
+    """Two-letter language of a label however it is spelled (``en-US``, ``EN``); null without one."""
+    s = F.regexp_extract(F.lower(lang), r"^\s*([a-z]{2})", 1)
+    return F.when(s != "", s)
 
 
-def measured_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id, is_english_prose, words, n`` and the sentence features of every text with words; a repeated id counts once.
+def document_words(documents: DataFrame) -> DataFrame:
+    """``doc_id, prose, lang, words_per_sentence, commas_per_sentence, word, c``: each word of each text with words, counted, in one pass.
 
-    A text that has words only in what ``prose_text`` takes out (a log of assignments, say) is measured as it stands.
+    A text that has words only in what ``prose_text`` takes out (a log of assignments, say) is measured as it stands. The measures of
+    the text stand on each of its rows, where they cost next to nothing once written by column. Texts under one id count as one document.
     """
-    d = documents.where("text is not null and doc_id is not null").select("doc_id", "text", prose_text(F.col("text")).alias("clean"))
-    d = d.select("doc_id", is_prose(F.col("text")).alias("prose"), F.when(F.col("clean").rlike(r"\p{L}"), F.col("clean")).otherwise(F.col("text")).alias("clean"))
-    d = d.select("doc_id", "prose", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}+"), F.lit(0)).alias("words"))
+    label = language(F.col("lang")) if "lang" in documents.columns else F.lit(None).cast("string")
+    d = documents.where("text is not null and doc_id is not null").select("doc_id", label.alias("lang"), is_prose(F.col("text")).alias("prose"), "text", prose_text(F.col("text")).alias("clean"))
+    d = d.select("doc_id", "lang", "prose", F.when(F.col("clean").rlike(r"\p{L}"), F.col("clean")).otherwise(F.col("text")).alias("clean"))
+    d = d.select("doc_id", "lang", "prose", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}++"), F.lit(0)).alias("words"))
     d = d.where(F.size("words") > 0)
-    sentences = F.greatest(F.regexp_count("clean", F.lit(r"[.!?;:]+(\s|$)|\n+\s*\S")), F.lit(1))
-    d = d.select("doc_id", (F.col("prose") & is_english(F.col("words"))).alias("is_english_prose"), "words", F.size("words").cast("double").alias("n"), F.ln(F.size("words") / sentences).alias("words_per_sentence"), (F.regexp_count("clean", F.lit(",")) / sentences).alias("commas_per_sentence"))
-    return d.dropDuplicates(["doc_id"])
+    sentences = F.greatest(F.regexp_count("clean", F.lit(r"[.!?;:]++(?:\s|$)|\n++\s*+\S")), F.lit(1))
+    commas = F.length("clean") - F.length(F.replace("clean", F.lit(",")))
+    d = d.select("doc_id", "lang", "prose", F.ln(F.size("words") / sentences).alias("words_per_sentence"), (commas / sentences).alias("commas_per_sentence"), F.explode("words").alias("word"))
+    return d.groupBy(*d.columns).agg(F.count("*").alias("c"))
 
 
 def word_ranks(counts: DataFrame) -> DataFrame:
@@ -69,79 +69,106 @@ def word_ranks(counts: DataFrame) -> DataFrame:
     return counts.join(ranks, "cnt").select("word", "rank")
 
 
-def word_features(ranks: DataFrame) -> DataFrame:
-    """Ranked words with what the sentence measures need of them, once per word instead of once per use."""
+def word_features(counts: DataFrame, alpha: float = 0.5) -> DataFrame:
+    """Words (``word, cnt, en, other``) with their rank and what the measures of a text need of them, once per word instead of once per use.
+
+    ``odds`` is the word's evidence for English: the log of its smoothed share among the words of texts labelled English over that among
+    the words of texts labelled otherwise (naive Bayes, fitted here on the corpus's own labels; without labels it is 0).
+    """
     w = F.col("word")
     bit = lambda c: c.cast("int")
-    return ranks.select("word", "rank", bit(w.isin(CLAUSE_WORDS)).alias("clause"), bit(w.rlike(DERIVED)).alias("derived"), bit(w.isin("the", "a")).alias("article"), F.length("word").alias("len"))
+    t = counts.agg(F.sum("en").alias("__e"), F.sum("other").alias("__o"), F.count("*").alias("__v"))  # one row
+    share = lambda c, n: (F.col(c) + alpha) / (F.col(n) + alpha * F.col("__v"))
+    odds = counts.crossJoin(F.broadcast(t)).select("word", F.ln(share("en", "__e") / share("other", "__o")).alias("odds"))
+    ranks = word_ranks(counts).join(odds, "word")
+    return ranks.select("word", "rank", "odds", bit(w.isin(CLAUSE_WORDS)).alias("clause"), bit(w.rlike(DERIVED)).alias("derived"), bit(w.isin("the", "a")).alias("article"), F.length("word").alias("len"))
 
 
 def document_features(documents: DataFrame) -> DataFrame:
     """``doc_id, n, is_english_prose`` and FEATURES of each text with words.
 
-    ``c50 ..`` are logs of the size of the smallest frequency-ranked vocabulary that covers each of SHARES of a document's words.
-    Frequent words meet their rank by a broadcast of at most HEAD words, so a word that is in every document moves nothing; the
-    others, none of them frequent, by a shuffle. All else stays partitioned by document.
+    ``c50 ..`` are logs of the size of the smallest frequency-ranked vocabulary that covers each of SHARES of a document's words. The
+    vocabulary is broadcast within the bounds of ``fits_broadcast``; beyond them a word that is in every document is split over tasks.
     """
-    docs = checkpointed(measured_documents(documents))
-    pairs = checkpointed(docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("c")))
-    ranks = checkpointed(word_features(word_ranks(pairs.groupBy("word").agg(F.sum("c").alias("cnt")))))
-    near = pairs.join(F.broadcast(ranks.where(F.col("rank") <= HEAD)), "word", "left")
-    ranked = near.where("rank is not null")
-    if ranks.where(F.col("rank") > HEAD).limit(1).count():
-        tail = near.where("rank is null").select(*pairs.columns).join(ranks.where(F.col("rank") > HEAD), "word")
-        ranked = ranked.unionByName(tail)
+    pairs = written(document_words(documents))
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0))
+    counts = checkpointed(pairs.groupBy("word").agg(F.sum("c").alias("cnt"), of(F.col("lang") == "en").alias("en"), of(F.col("lang") != "en").alias("other")))
+    ranked = guarded_join(pairs.drop("lang"), word_features(counts), ["word"], "inner")
     w = Window.partitionBy("doc_id")
-    run = ranked.withColumn("cum", F.sum("c").over(w.orderBy("rank"))).withColumn("n", F.sum("c").over(w))
+    run = ranked.drop("word").withColumn("cum", F.sum("c").over(w.orderBy("rank"))).withColumn("n", F.sum("c").over(w))
     share = lambda c: F.sum(F.col(c) * F.col("c")) / F.max("n")
-    per = run.groupBy("doc_id").agg(
-        *[F.ln(F.min(F.when(F.col("cum") >= F.col("n") * p, F.col("rank")))).alias(f"c{round(p * 100)}") for p in SHARES],
+    return run.groupBy("doc_id").agg(
+        F.max("n").cast("double").alias("n"), (F.bool_and("prose") & (F.sum(F.col("odds") * F.col("c")) >= 0)).alias("is_english_prose"),
+        *[F.ln(F.min(F.when(F.col("cum") >= F.col("n") * p, F.col("rank")))).alias(f"c{round(p * 100)}") for p in SHARES], F.max("words_per_sentence").alias("words_per_sentence"), F.max("commas_per_sentence").alias("commas_per_sentence"),
         share("clause").alias("clause_share"), share("len").alias("word_length"), share("derived").alias("derived_share"), share("article").alias("article_share"),
-    )
-    return docs.drop("words").join(per, "doc_id").select("doc_id", "n", "is_english_prose", *FEATURES)
+    ).select("doc_id", "n", "is_english_prose", *FEATURES)
+
+
+def rated_documents(features: DataFrame, labels: DataFrame) -> DataFrame:
+    """Features and mean rating ``y`` of every rated document in English prose, which the ratings speak for."""
+    rated = labels.where("reading_level between 1 and 5").groupBy("doc_id").agg(F.avg("reading_level").alias("y"))
+    return features.where("is_english_prose").join(rated, "doc_id").select("doc_id", "y", F.array(*FEATURES).alias("x"))
 
 
-def calibration(features: DataFrame, labels: DataFrame, ridge: float = 1.0) -> Column | None:
-    """The level as a linear expression of the features, by ridge regression on the mean rating of each rated document.
+def level_weights(rated: DataFrame, by: list[str] | None = None, ridge: float = 1.0) -> DataFrame:
+    """``by, w``: weights of intercept and FEATURES by ridge regression on ``x`` and ``y``, one row a group, all of it in SQL.
 
-    All rated documents in English prose take part: sums of products come from one aggregation, and the normal equations of ten unknowns are solved
-    on the driver. None without any such document.
+    Features are centred and scaled by their deviation over the rated rows, sums of products come from one aggregation, and Gauss-Jordan
+    elimination over the ten rows of the normal equations is a fold over arrays. Without rated rows the weights are null.
     """
-    rated = labels.where("reading_level between 1 and 5").groupBy("doc_id").agg(F.avg("reading_level").alias("y"))
-    x = features.where("is_english_prose").join(rated, "doc_id")
-    cols = [F.lit(1.0), *[F.col(c) for c in FEATURES]]
-    k = len(cols)
-    sums = [F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)] + [F.sum(c * F.col("y")).alias(f"y{i}") for i, c in enumerate(cols)]
-    r = x.agg(*sums).first()
-    if r["s0_0"] is None:
-        return None
-    a = np.array([[r[f"s{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-    b = np.array([r[f"y{i}"] for i in range(k)], float)
-    n = a[0, 0]
-    mu = a[0] / n
-    mu[0] = 0.0
-    sd = np.sqrt(np.maximum(np.diag(a) / n - mu**2, 1e-12))
-    sd[0] = 1.0
-    # centre and scale every feature, so that the ridge weighs them alike
-    t = np.diag(1 / sd)
-    t[1:, 0] = -mu[1:] / sd[1:]
-    z, q = t @ a @ t.T, t @ b
-    w = np.linalg.solve(z + ridge * np.eye(k), q) @ t
-    level = F.lit(float(w[0]))
-    for i, c in enumerate(FEATURES, 1):
-        level = level + F.col(c) * float(w[i])
-    return F.least(F.greatest(level, F.lit(1.0)), F.lit(5.0))
+    by, k = by or [], len(FEATURES)
+    at = lambda a, i: F.get(a, F.lit(i))
+    stats = rated.groupBy(*by).agg(F.array(*[F.avg(at("x", i)) for i in range(k)]).alias("mu"), F.array(*[F.greatest(F.stddev_pop(at("x", i)), F.lit(1e-6)) for i in range(k)]).alias("sd"))
+    one = F.broadcast(stats)  # a row a group
+    x = rated.join(one, by) if by else rated.crossJoin(one)
+    z = x.select(*by, "y", F.concat(F.array(F.lit(1.0)), F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (F.get("x", i) - F.get("mu", i)) / F.get("sd", i))).alias("z"))
+    cross = lambda i, j: F.sum(at("z", i) * (F.col("y") if j > k else at("z", j)))
+    cell = lambda i, j: cross(min(i, j), max(i, j)) + (ridge if i == j and i else 0.0)
+    m = z.groupBy(*by).agg(F.array(*[F.array(*[cell(i, j) for j in range(k + 1)], cross(i, k + 1)) for i in range(k + 1)]).alias("m"))
+
+    def clear(rows: Column, p: Column) -> Column:
+        lead = F.transform(F.get(rows, p), lambda v: v / F.get(F.get(rows, p), p))
+        return F.transform(rows, lambda r, i: F.when(i == p, lead).otherwise(F.zip_with(r, lead, lambda a, b: a - b * F.get(r, p))))
+
+    solved = F.aggregate(F.sequence(F.lit(0), F.lit(k)), F.col("m"), clear, lambda rows: F.transform(rows, lambda r: F.get(r, F.lit(k + 1))))
+    s = m.select(*by, solved.alias("q"))
+    s = s.join(one, by) if by else s.crossJoin(one)
+    slopes = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("q", i + 1) / F.get("sd", i))
+    s = s.select(*by, F.get("q", F.lit(0)).alias("q0"), "mu", slopes.alias("b"))
+    shift = F.aggregate(F.zip_with("b", "mu", lambda a, c: a * c), F.lit(0.0), lambda t, v: t + v)
+    return s.select(*by, F.concat(F.array(F.col("q0") - shift), "b").alias("w"))
+
+
+def level_of(w: Column, x: Column) -> Column:
+    """Level, 1 to 5, of a text's features ``x`` under the weights ``w``."""
+    raw = F.aggregate(F.zip_with(F.concat(F.array(F.lit(1.0)), x), w, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    return F.when(raw.isNotNull(), F.least(F.greatest(raw, F.lit(1.0)), F.lit(5.0)))
 
 
 def text_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, level`` (1 to 5, continuous), ``coverage_rank`` (at 95 % of the words), ``words_per_sentence`` and ``is_english_prose``.
 
-    Every text with words has a row. The ratings are of English prose, so elsewhere (data objects, logs, German, Spanish) the level
+    Every text with words has a row. The ratings are of English prose, so elsewhere (data objects, logs, other languages) the level
     carries their measures on and is the less sure. A repeated ``doc_id`` counts once. Without ratings the level is null.
     """
-    f = checkpointed(document_features(documents))
-    level = calibration(f, labels)
-    return f.select("doc_id", (level if level is not None else F.lit(None).cast("double")).alias("level"), F.round(F.exp("c95")).cast("bigint").alias("coverage_rank"), F.round(F.exp("words_per_sentence"), 4).alias("words_per_sentence"), "is_english_prose")
+    f = written(document_features(documents))
+    w = checkpointed(level_weights(rated_documents(f, labels)))
+    level = level_of(F.col("w"), F.array(*FEATURES))
+    return f.crossJoin(F.broadcast(w)).select("doc_id", level.alias("level"), F.round(F.exp("c95")).cast("bigint").alias("coverage_rank"), F.round(F.exp("words_per_sentence"), 4).alias("words_per_sentence"), "is_english_prose")
+
+
+def held_out_accuracy(documents: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
+    """``fold, documents, mean_abs_error, within_one, right_side``: each fold of the rated documents judged by the fit on the others.
+
+    ``right_side`` is the share on the same side of level 4 (to the nearest level) as its mean rating.
+    """
+    rated = checkpointed(rated_documents(written(document_features(documents)), labels).withColumn("of", F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int")))
+    others = rated.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).where("fold <> of")
+    w = checkpointed(level_weights(others, ["fold"]))
+    d = rated.withColumnRenamed("of", "fold").join(F.broadcast(w), "fold").withColumn("level", level_of(F.col("w"), F.col("x")))
+    err = F.abs(F.col("level") - F.col("y"))
+    side = (F.col("level") >= 3.5) == (F.col("y") >= 3.5)
+    return d.groupBy("fold").agg(F.count("*").alias("documents"), F.round(F.avg(err), 4).alias("mean_abs_error"), F.round(F.avg((err <= 1).cast("int")), 4).alias("within_one"), F.round(F.avg(side.cast("int")), 4).alias("right_side"))
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -330,24 +330,42 @@ def test_reading_level(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/doc_labels.parquet")
     f = reading.document_features(docs).cache()
     held = labels.where("doc_id % 2 = 0").groupBy("doc_id").agg(F.avg("reading_level").alias("y"), F.count("*").alias("c"))
-    level = reading.calibration(f, labels.where("doc_id % 2 = 1"))
-    x = f.withColumn("level", level).join(held, "doc_id").select("level", "y").toPandas()
+    w = reading.level_weights(reading.rated_documents(f, labels.where("doc_id % 2 = 1")))
+    x = f.crossJoin(w).withColumn("level", reading.level_of(F.col("w"), F.array(*reading.FEATURES))).join(held, "doc_id").select("level", "y").toPandas()
     assert len(x) > 20 and ((x.level >= 3.5) == (x.y >= 3.5)).mean() > 0.9 and (x.level - x.y).abs().mean() < 0.7
     assert reading.reading_levels(docs, labels.where("false")).where("level is not null").count() == 0
     odd = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "...", 1), (4, '{"a": 1, "b": 2}', 1), (5, "k=1 l=2 m=3", 1), (6, "Die Kamera ist gut und der Griff ist nicht zu sehen", 1), (7, "Put the cup down. Put the cup down.", 1), (7, "Put it.", 1), (8, "supercalifragilistic " * 3000, 1)], "doc_id bigint, text string, n int")
+    odd = odd.withColumn("lang", F.when(F.col("doc_id") == 6, "DE").when(F.col("doc_id") == 7, "en-US"))
     assert {r.doc_id for r in reading.reading_levels(odd, labels).collect()} == {7, 8}
 
 
+def test_weights_equal_numpy(spark):
+    """Ridge regression by elimination in SQL against NumPy's solver, for two groups at once."""
+    r = np.random.default_rng(1)
+    x = r.normal(2, 3, (80, len(reading.FEATURES)))
+    y = x @ r.normal(size=x.shape[1]) + r.normal(size=80)
+    rated = spark.createDataFrame([(i % 2, float(b), [float(v) for v in a]) for i, (a, b) in enumerate(zip(x, y))], "g int, y double, x array<double>")
+    for row in reading.level_weights(rated, ["g"]).collect():
+        a, b = x[row.g :: 2], y[row.g :: 2]
+        mu, sd = a.mean(0), a.std(0)
+        z = np.c_[np.ones(len(a)), (a - mu) / sd]
+        q = np.linalg.solve(z.T @ z + np.diag([0.0] + [1.0] * x.shape[1]), z.T @ b)
+        want = np.r_[q[0] - (q[1:] / sd * mu).sum(), q[1:] / sd]
+        assert np.allclose(row.w, want)
+    assert reading.level_weights(rated.where("false")).first().w is None or all(v is None for v in reading.level_weights(rated.where("false")).first().w)
+
+
 def test_every_text_has_a_level(spark):
     labels = spark.createDataFrame([(1, 2), (2, 4)], "doc_id bigint, reading_level int")
     note = "The lens was moved to fps=30 and then to gain=2 with iso=100, since the hand that held the cup was hard to see in the first clip. " * 5
-    rows = [(1, "Put the cup down. Put it here."), (2, note), (3, '<a id="x" class=y href=z>Put the cup down.</a>'), (4, '{"a": 1, "b": "Put it"}'), (5, "k=1 l=2 m=3"), (6, "Die Kamera ist gut und der Griff ist nicht zu sehen"), (7, "..."), (8, None)]
-    docs = spark.createDataFrame([(*r, "S ") for r in rows], "doc_id bigint, text string, source string")
+    rows = [(1, "Put the cup down. Put it here."), (2, note), (3, '<a id="x" class=y href=z>Put the cup down.</a>'), (4, '{"a": 1, "b": "Put it"}'), (5, "k=1 l=2 m=3"), (6, "Die Kamera ist gut und der Griff ist nicht zu sehen"), (7, "..."), (8, None), (9, "Der Griff ist gut zu sehen"), (10, "Put the lens down and the cup here.")]
+    lang = {1: "EN", 2: "en-US", 6: "de-DE"}  # the others are told by their words
+    docs = spark.createDataFrame([(*r, "S ", lang.get(r[0])) for r in rows], "doc_id bigint, text string, source string, lang string")
     got = reading.text_levels(docs, labels)
-    assert {r.doc_id: r.is_english_prose for r in got.collect()} == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False}
-    assert got.where("level between 1 and 5").count() == 6
+    assert {r.doc_id: r.is_english_prose for r in got.collect()} == {1: True, 2: True, 3: True, 4: False, 5: False, 6: False, 9: False, 10: True}
+    assert got.where("level between 1 and 5").count() == 8
     p = reading.profile(docs, got).collect()
-    assert sum(r.documents for r in p) == 8 and sum(r.documents for r in p if r.reading_level is None) == 2
+    assert sum(r.documents for r in p) == 10 and sum(r.documents for r in p if r.reading_level is None) == 2
 
 
 def test_coverage_rank(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.functions.geometry import let
 from framewright.session import checkpointed, guarded_join, written
 
 #: English words that join, subordinate or shift a clause.
@@ -21,10 +22,10 @@ TAG = r"</?[A-Za-z!][^<>]*+>"
 def prose_text(text: Column) -> Column:
     """Text without markup, headings, paths, ids and tokens with digits (so without list numbers too); lines stay lines.
 
-    Every pattern is linear in the text: what a quantifier has taken it never gives back.
     """
     t = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG, "\n")).otherwise(text)
-    return F.regexp_replace(t, r"(?m)^[ \t]*+#.*+$|(?<!\S)[^\s/_\\=\d]*+[/_\\=\d]\S*+", " ")
+    t = F.when(F.contains(text, F.lit("#")), F.regexp_replace(t, r"(?m)^[ \t]*+#.*+$", " ")).otherwise(t)
+    return F.regexp_replace(t, r"([^\s/_\\=\d]++)(?!\S)|\S++", "$1")  # token by token, so linear in the text
 
 
 def is_prose(text: Column) -> Column:
@@ -42,20 +43,34 @@ def language(lang: Column) -> Column:
 
 
 def document_words(documents: DataFrame) -> DataFrame:
-    """``doc_id, prose, lang, words_per_sentence, commas_per_sentence, word, c``: each word of each text with words, counted, in one pass.
+    """``doc_id, prose, lang, words_per_sentence, commas_per_sentence, word, c``: each word of each text with words, counted, in one pass without a shuffle.
 
     A text that has words only in what ``prose_text`` takes out (a log of assignments, say) is measured as it stands. The measures of
     the text stand on each of its rows, where they cost next to nothing once written by column. Texts under one id count as one document.
     """
     label = language(F.col("lang")) if "lang" in documents.columns else F.lit(None).cast("string")
-    d = documents.where("text is not null and doc_id is not null").select("doc_id", label.alias("lang"), is_prose(F.col("text")).alias("prose"), "text", prose_text(F.col("text")).alias("clean"))
-    d = d.select("doc_id", "lang", "prose", F.when(F.col("clean").rlike(r"\p{L}"), F.col("clean")).otherwise(F.col("text")).alias("clean"))
-    d = d.select("doc_id", "lang", "prose", "clean", F.regexp_extract_all(F.lower("clean"), F.lit(r"\p{L}++"), F.lit(0)).alias("words"))
-    d = d.where(F.size("words") > 0)
-    sentences = F.greatest(F.regexp_count("clean", F.lit(r"[.!?;:]++(?:\s|$)|\n++\s*+\S")), F.lit(1))
-    commas = F.length("clean") - F.length(F.replace("clean", F.lit(",")))
-    d = d.select("doc_id", "lang", "prose", F.ln(F.size("words") / sentences).alias("words_per_sentence"), (commas / sentences).alias("commas_per_sentence"), F.explode("words").alias("word"))
-    return d.groupBy(*d.columns).agg(F.count("*").alias("c"))
+    text = F.col("text")
+    m = let(let(prose_text(text), lambda p: F.when(p.rlike(r"\p{L}"), p).otherwise(text)), _measures)  # each pattern runs once over a text
+    d = documents.where("text is not null and doc_id is not null").select("doc_id", label.alias("lang"), is_prose(text).alias("prose"), m.alias("m"))
+    return d.select("doc_id", "lang", "prose", "m.words_per_sentence", "m.commas_per_sentence", F.explode("m.words").alias("w")).select("doc_id", "lang", "prose", "words_per_sentence", "commas_per_sentence", "w.word", "w.c")
+
+
+def counted(words: Column) -> Column:
+    """array<struct<word,c>> of an array's distinct words, by the starts of the runs in the sorted array: nothing is shuffled."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("word"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("bigint").alias("c"))))
+
+    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s)))
+
+
+def _measures(clean: Column) -> Column:
+    """Struct of a text's words (in lower case) and its sentence measures."""
+    sentences = F.greatest(F.regexp_count(clean, F.lit(r"[.!?;:]++(?:\s|$)|\n++\s*+\S")), F.lit(1))
+    commas = F.length(clean) - F.length(F.replace(clean, F.lit(",")))
+    words = F.regexp_extract_all(F.lower(clean), F.lit(r"[a-z\p{L}]++"), F.lit(0))
+    return let(F.struct(words.alias("w"), sentences.alias("s"), commas.alias("c")), lambda x: F.struct(counted(x["w"]).alias("words"), F.ln(F.size(x["w"]) / x["s"]).alias("words_per_sentence"), (x["c"] / x["s"]).alias("commas_per_sentence")))
 
 
 def word_ranks(counts: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ import json
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.keys import frame_clip, frame_number
-from framewright.session import checkpointed
+from framewright.session import checkpointed, guarded_join, salted_join, written
 
 
 def stored_frames(listings: DataFrame) -> DataFrame:
@@ -30,11 +30,26 @@ def stored_frames(listings: DataFrame) -> DataFrame:
     ).where("clip_id is not null and frame_idx is not null")
 
 
+def folder_of(path: str, depth: int) -> Column:
+    """The partition of a tar file: the folder ``depth`` levels above it."""
+    return F.regexp_replace(path, rf"(/[^/]*){{{depth}}}$", "")
+
+
+def held_frames(listings: DataFrame, depth: int = 2) -> DataFrame:
+    """Each frame once: ``clip_id, frame_idx, part, tar_path, member, size, known`` of the copy a compacted table holds, and ``copies, parts``.
+
+    Of several copies one of known, non-zero size is taken, the earliest listed first, then by path and place. ``parts`` are the
+    partitions that hold any copy.
+    """
+    fr = stored_frames(listings).withColumn("part", folder_of("tar_path", depth))
+    rank = F.struct((~(F.col("known") & (F.col("size") > 0))).alias("bad"), "listed_at", "tar_path", "member")
+    g = fr.groupBy("clip_id", "frame_idx").agg(F.min_by(F.struct("part", "tar_path", "member", "size", "known"), rank).alias("r"), F.count("*").alias("copies"), F.collect_set("part").alias("parts"))
+    return g.select("clip_id", "frame_idx", "r.*", "copies", "parts")
+
+
 def repeated_frames(listings: DataFrame) -> DataFrame:
-    """Frames stored more than once, in different tar files or twice in one: ``clip_id, frame_idx``."""
-    one = listings.where("tar_path is not null").groupBy("tar_path").agg(F.min_by("frame_names", "listing_id").alias("names"))
-    m = one.select(F.explode("names").alias("name")).select(frame_clip(F.col("name")).alias("clip_id"), frame_number(F.col("name")).alias("frame_idx"))
-    return m.where("clip_id is not null and frame_idx is not null").groupBy("clip_id", "frame_idx").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    """Frames stored more than once, in different tar files or twice in one: ``clip_id, frame_idx``, those of which compaction drops a copy."""
+    return held_frames(listings).where("copies > 1").select("clip_id", "frame_idx")
 
 
 def two_level_running_sum(df: DataFrame, part: str, order: list[str], value: str, out: str, buckets: int = 256) -> DataFrame:
@@ -47,32 +62,34 @@ def two_level_running_sum(df: DataFrame, part: str, order: list[str], value: str
     sums = b.groupBy(part, "__bk").agg(F.sum(value).alias("__bs"))
     start = F.sum("__bs").over(Window.partitionBy(part).orderBy("__bk")) - F.col("__bs")
     inner = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col(value)
-    joined = b.withColumn("__in", inner).join(sums.select(part, "__bk", start.alias("__st")), [part, "__bk"])
+    joined = guarded_join(b.withColumn("__in", inner), sums.select(part, "__bk", start.alias("__st")), [part, "__bk"], "inner")
     return joined.withColumn(out, F.col("__in") + F.col("__st")).drop("__bk", "__in", "__st")
 
 
 def compaction_plan(listings: DataFrame, target_bytes: int = 64 << 20, small_bytes: int = 16 << 20, max_small: int = 4, depth: int = 2) -> DataFrame:
     """A plan of fewer, well-sized tar files in which every frame named is held exactly once.
 
-    A partition is the folder ``depth`` levels above a tar file. Partitions with at most ``max_small`` files under
-    ``small_bytes`` stay as they are (``action`` = ``keep``: one row per frame kept, in its present file), except that a
-    frame is held once there too. In the others whole clips are laid out one after the other, and a clip that would pass
-    ``target_bytes`` opens the next file, so a file holds at most the target plus one clip.
+    A partition is the folder ``depth`` levels above a tar file. It is rewritten if it has more than ``max_small`` files under
+    ``small_bytes``, or holds any copy of a frame that is stored more than once (else a copy would stay behind in a file that is kept); partitions
+    with neither stay as they are (``action`` = ``keep``: one row per frame, in its present file). Whole clips are laid out one after the
+    other, and a clip that would pass ``target_bytes`` opens the next file, so a file holds at most the target plus one clip. Partitions
+    that fill less than a quarter of a file are laid out together with the others of their parent folder.
 
-    Of several copies of a frame the plan takes one of known, non-zero size, the earliest listed first, then by path
-    and place. Rows: ``part, action, out_path, clip_id, frame_idx, tar_path, member, size, known``.
+    Rows: ``part, action, out_path, clip_id, frame_idx, tar_path, member, size, known``.
     """
-    fr = stored_frames(listings).withColumn("part", F.regexp_replace("tar_path", rf"(/[^/]*){{{depth}}}$", ""))
-    rank = F.struct((~(F.col("known") & (F.col("size") > 0))).alias("bad"), "listed_at", "tar_path", "member")
-    held = fr.groupBy("clip_id", "frame_idx").agg(F.min_by(F.struct("part", "tar_path", "member", "size", "known"), rank).alias("r")).select("clip_id", "frame_idx", "r.*")
-    files = listings.where("tar_path is not null").groupBy("tar_path").agg(F.max("tar_bytes").alias("b")).withColumn("part", F.regexp_replace("tar_path", rf"(/[^/]*){{{depth}}}$", ""))
-    parts = files.groupBy("part").agg(F.count_if(F.col("b") < small_bytes).alias("ns")).select("part", (F.col("ns") > max_small).alias("rewrite"))
+    held = checkpointed(held_frames(listings, depth))
+    files = listings.where("tar_path is not null").groupBy("tar_path").agg(F.max("tar_bytes").alias("b")).withColumn("part", folder_of("tar_path", depth))
+    twice = held.where("copies > 1").select(F.explode("parts").alias("part")).distinct().withColumn("twice", F.lit(True))
+    parts = files.groupBy("part").agg(F.count_if(F.col("b") < small_bytes).alias("ns")).join(twice, "part", "left").select("part", ((F.col("ns") > max_small) | F.col("twice").isNotNull()).alias("rewrite"))
     block = 512  # tar members are padded to this and have a header of as much
     padded = F.ceil(F.col("size") / block) * block + block
     clips = held.groupBy("part", "clip_id").agg(F.sum(padded).alias("cb"))
-    placed = two_level_running_sum(clips, "part", ["clip_id"], "cb", "at").join(parts, "part")
-    placed = placed.select("part", "clip_id", "rewrite", F.format_string("%s/compact-%06d.tar", "part", F.floor(F.col("at") / target_bytes)).alias("out"))
-    return held.join(placed, ["part", "clip_id"]).select(
+    whole = clips.groupBy("part").agg(F.sum("cb").alias("pb")).join(parts, "part")
+    up = F.regexp_extract("part", r"^(.*)/[^/]+$", 1)
+    whole = whole.select("part", "rewrite", F.when((F.col("pb") * 4 < target_bytes) & (up != ""), up).otherwise(F.col("part")).alias("into"))
+    placed = two_level_running_sum(guarded_join(clips, whole, ["part"], "inner"), "into", ["clip_id", "part"], "cb", "at")
+    placed = placed.select("part", "clip_id", "rewrite", F.format_string("%s/compact-%06d.tar", "into", F.floor(F.col("at") / target_bytes)).alias("out"))
+    return salted_join(held, placed, ["part", "clip_id"]).select(
         "part", F.when(F.col("rewrite"), "rewrite").otherwise("keep").alias("action"), F.when(F.col("rewrite"), F.col("out")).otherwise(F.col("tar_path")).alias("out_path"),
         "clip_id", "frame_idx", "tar_path", "member", "size", "known",
     )
@@ -103,7 +120,7 @@ class SnapshotTable:
         folder = self._p(f"{self.path}/_snapshots")
         if not self._fs.exists(folder):
             return 0
-        return max([int(s.getPath().getName()[:12]) for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json") and s.getPath().getName()[:12].isdigit()], default=0)
+        return max([int(s.getPath().getName()[:12]) for s in self._fs.listStatus(folder) if not s.getPath().getName().startswith(".") and s.getPath().getName().endswith(".json") and s.getPath().getName()[:12].isdigit()], default=0)
 
     def files(self, v: int | None = None) -> dict[str, list[list]]:
         """``{partition: [[file, bytes, rows], ...]}`` of a snapshot."""
@@ -122,15 +139,27 @@ class SnapshotTable:
                     raise Conflict(f"partition {p} changed between versions {base} and {now}")
             files.update(changed)
             body = json.dumps({k: x for k, x in files.items() if x})
-            try:
-                out = self._fs.create(self._p(self._log(now + 1)), False)
-            except Exception as e:  # someone else committed this version
-                if "exist" not in str(e).lower():
-                    raise
-                continue
-            out.write(bytearray(body.encode()))
-            out.close()
-            return now + 1
+            if self._publish(now + 1, body):
+                return now + 1
+
+    def _publish(self, v: int, body: str) -> bool:
+        """Write the snapshot aside, then rename it to its name, which must be free: a reader sees all of it or nothing."""
+        aside, name = self._p(f"{self.path}/_snapshots/.{uuid.uuid4().hex}.tmp"), self._p(self._log(v))
+        out = self._fs.create(aside, False)
+        out.write(bytearray(body.encode()))
+        out.close()
+        none = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        kinds = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        kinds[0] = none
+        context = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            context.rename(self._fs.makeQualified(aside), self._fs.makeQualified(name), kinds)  # fails if the name is taken
+            return True
+        except Exception:
+            self._fs.delete(aside, False)
+            if self._fs.exists(name):  # someone else committed this version
+                return False
+            raise
 
     def _write(self, df: DataFrame) -> dict[str, list[list]]:
         """Write ``df`` into a new generation folder; its files by partition."""
@@ -182,7 +211,7 @@ class SnapshotTable:
         if not todo:
             return None
         pieces = {p: max(1, -(-sum(f[1] for f in x) // target_bytes)) for p, x in todo.items()}
-        df = checkpointed(self.read(base, list(todo)))
+        df = written(self.read(base, list(todo)))
         keyed = df.withColumn("__p", F.coalesce(F.col(self.part).cast("string"), F.lit("")))
         n = self.spark.createDataFrame(list(pieces.items()), "__p string, __k int")
         spread = keyed.join(F.broadcast(n), "__p").withColumn("__r", F.pmod(F.xxhash64(*df.columns), F.col("__k")))
@@ -194,3 +223,21 @@ class SnapshotTable:
         if sums(df) != sums(after):
             raise RuntimeError("the rewritten partitions differ from what was read; nothing was committed")
         return self._commit(base, {p: new.get(p, []) for p in todo})
+
+
+def rewritten(df: DataFrame, folder: str, part: str, pieces: int = 8, max_small: int = 4, **sizes: int) -> DataFrame:
+    """``df`` written to a snapshot table in ``pieces`` appends, compacted, and compared: a row per partition.
+
+    ``part, rows, files_before, files_after, same``: ``same`` if row count and content sum are those of ``df``.
+    """
+    t = SnapshotTable(df.sparkSession, folder, part)
+    keyed = written(df.withColumn("__piece", F.pmod(F.xxhash64(*df.columns), F.lit(pieces))))
+    for i in range(pieces):
+        t.append(keyed.where(F.col("__piece") == i).drop("__piece").coalesce(1))
+    before = t.version()
+    t.compact(max_small=max_small, **sizes)
+    n = lambda v, name: df.sparkSession.createDataFrame([(p, len(x)) for p, x in t.files(v).items()], f"{part} string, {name} int")
+    key = F.col(part).cast("string").alias(part)
+    sums = lambda d, c: d.groupBy(key).agg(F.count("*").alias(f"n{c}"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias(f"h{c}"))
+    j = sums(keyed.drop("__piece"), 0).join(sums(t.read().select(*[F.col(c).cast(k) for c, k in df.dtypes]), 1), part, "full").join(n(before, "files_before"), part, "left").join(n(None, "files_after"), part, "left")
+    return j.select(part, F.col("n1").alias("rows"), "files_before", "files_after", (F.col("n0").eqNullSafe(F.col("n1")) & F.col("h0").eqNullSafe(F.col("h1"))).alias("same"))

@@ -46,6 +46,11 @@ def _shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which ``drop_written`` removes too."""
+    return f"{_shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` in the reliable checkpoint folder, its lineage cut. For small and middling results; see ``written``."""
     _shared_folder(df.sparkSession)

@@ -125,7 +125,12 @@ def test_repeated_frames_and_plan(spark):
     p = compaction.compaction_plan(t, max_small=2).collect()
     assert sorted((r.clip_id, r.frame_idx) for r in p) == [("c", 1), ("c", 2), ("c", 3), ("d", 0), ("d", 7)]
     assert {r.action for r in p} == {"rewrite"} and len({r.out_path for r in p}) == 1
-    assert {r.action for r in compaction.compaction_plan(t, max_small=50).collect()} == {"keep"}
+    assert {r.action for r in compaction.compaction_plan(t, max_small=50).collect()} == {"rewrite"}  # it holds a frame twice
+    assert {r.action for r in compaction.compaction_plan(t.where("listing_id = 0"), max_small=50).collect()} == {"keep"}
+    two = tars(spark, [("/r/src/g1/x/a.tar", ["c_f1.jpg"], [[0, 10]]), ("/r/src/g2/x/b.tar", ["c_f1.jpg", "c_f2.jpg"], [[0, 10], [10, 5]]), ("/r/src/g3/x/d.tar", ["d_f1.jpg"], [[0, 10]])])
+    got = {(r.clip_id, r.frame_idx): (r.action, r.out_path) for r in compaction.compaction_plan(two, max_small=50).collect()}
+    assert {k: v[0] for k, v in got.items()} == {("c", 1): "rewrite", ("c", 2): "rewrite", ("d", 1): "keep"}
+    assert {v[1] for k, v in got.items() if k[0] == "c"} == {"/r/src/compact-000000.tar"}  # partitions far below a file share one
     assert compaction.repeated_frames(t.where("false")).count() == compaction.compaction_plan(t.where("false")).count() == 0
     small = compaction.compaction_plan(t, target_bytes=1, max_small=0).collect()
     assert len({r.out_path for r in small}) == 2

@@ -1,4 +1,4 @@
-"""Queries over all rows, where an older one of the list takes a part."""
+"""Queries that must take every row."""
 
 import math
 
@@ -17,7 +17,7 @@ def test_chained_correction_takes_every_chunk(spark):
             product *= v / 50 if v is not None and 5 <= v <= 200 else 1.0
             want[clip, f] = math.log(product)
             cut += f >= 6
-    got = {(r.clip, r.f): r.log_correction for r in core.QUERIES["chained_correction_all"](spark, d).collect()}
+    got = {(r.clip, r.f): r.log_correction for r in core.QUERIES["chained_correction"](spark, d).collect()}
     assert cut and got.keys() == want.keys()
     assert all(abs(got[k] - x) < 1e-5 for k, x in want.items())
 
@@ -25,5 +25,5 @@ def test_chained_correction_takes_every_chunk(spark):
 def test_sets_hold_every_event(spark, tmp_path):
     rows = [(1, 7, "view"), (2, 7, "purchase"), (3, 7, "refund"), (4, 7, "error"), (5, 8, "signup"), (7, 8, "error"), (9, 9, None)]
     spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
-    got = {tuple(r) for r in core.QUERIES["required_and_hard_sets_all"](spark, str(tmp_path)).collect()}
+    got = {tuple(r) for r in core.QUERIES["required_and_hard_sets"](spark, str(tmp_path)).collect()}
     assert got == {(7, "", 1), (8, "purchase,refund,view", 2), (9, "purchase,refund,view", 0)}

@@ -10,17 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.operators.control_charts import one_per_clip
+from framewright.session import checkpointed
 
 METRICS = ("max_camera_space_wrist_abs", "max_camera_space_hand_abs", "max_wrist_rotation_step")
 PERCENTS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 #: A sketch is a set of rows: level 0 holds values of weight 1, level l buffers of SIZE values of weight FAN ** l each.
 SIZE, FAN = 400, 10
+NODES = 64
 SKETCH = "level int, vals array<double>, err double"
 
 
-def collapse(values: np.ndarray, size: int, fan: int) -> np.ndarray:
-    """``size`` values at evenly spaced, centred positions of ``size * fan`` values (buffers of equal weight, merged)."""
-    return np.sort(values)[np.arange(size) * fan + (fan - 1) // 2]
+def collapse(values: np.ndarray, size: int, fan: int, turn: int = 0) -> np.ndarray:
+    """``size`` values at evenly spaced, centred positions of ``size * fan`` values (buffers of equal weight, merged).
+
+    An even ``fan`` has two middles; ``turn`` tells which is taken, so that alternating collapses lean neither up nor down.
+    """
+    return np.sort(values)[np.arange(size) * fan + (fan - 1 + turn % 2) // 2]
 
 
 def compact_sketch(raw: np.ndarray, levels: dict[int, list[np.ndarray]], err: float, size: int = SIZE, fan: int = FAN) -> tuple[np.ndarray, dict[int, list[np.ndarray]], float]:
@@ -34,14 +39,14 @@ def compact_sketch(raw: np.ndarray, levels: dict[int, list[np.ndarray]], err: fl
     if full:
         raw = np.sort(raw)
         for c in range(full):  # every full-th value: each buffer spans the whole range
-            levels.setdefault(1, []).append(collapse(raw[c : full * size * fan : full], size, fan))
+            levels.setdefault(1, []).append(collapse(raw[c : full * size * fan : full], size, fan, len(levels.get(1, []))))
             err += fan / 2
         raw = raw[full * size * fan :]
     at = 1
     while at <= max(levels, default=0):
         while len(levels.get(at, [])) >= fan:
             take, levels[at] = levels[at][:fan], levels[at][fan:]
-            levels.setdefault(at + 1, []).append(collapse(np.concatenate(take), size, fan))
+            levels.setdefault(at + 1, []).append(collapse(np.concatenate(take), size, fan, len(levels.get(at + 1, []))))
             err += fan ** (at + 1) / 2
         at += 1
     return raw, {k: v for k, v in levels.items() if v}, err
@@ -99,7 +104,7 @@ def _of_key(flat, off, level, err, a: int, z: int) -> tuple[np.ndarray, dict[int
 
 
 def partial_sketches(df: DataFrame, keys: list[str], metrics: list[str], rows: int = 1 << 18) -> DataFrame:
-    """``keys, metric`` and sketch rows of each chunk of at most ``rows`` rows, before any shuffle (map-side combine)."""
+    """``keys, metric`` and sketch rows: one sketch per chunk of at most ``rows`` rows before any shuffle (map-side combine), at most NODES per key."""
     kinds = dict(df.dtypes)
     nk = len(keys)
 
@@ -150,7 +155,10 @@ def partial_sketches(df: DataFrame, keys: list[str], metrics: list[str], rows: i
             )
 
     out = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
-    return df.select(*keys, *metrics).mapInArrow(run, f"{out}, metric string, {SKETCH}")
+    made = df.select(*keys, *metrics).mapInArrow(run, f"{out}, metric string, {SKETCH}")
+    # first level of the merge tree: a key's sketches meet in NODES tasks, so that its last task gets NODES of them, however many chunks there were
+    made = made.withColumn("node", F.pmod(F.spark_partition_id(), F.lit(NODES)))
+    return merged_sketches(made, [*keys, "metric", "node"]).drop("node")
 
 
 def merged_sketches(sketches: DataFrame, keys: list[str]) -> DataFrame:
@@ -232,3 +240,26 @@ def daily_percentiles(stats: DataFrame, percents: tuple = PERCENTS, **columns) -
 def span_percentiles(daily: DataFrame, span: Column, percents: tuple = PERCENTS) -> DataFrame:
     """Percentiles per source, metric and span of days (say ``trunc(day, 'month')``) from daily sketches."""
     return percentile_table(daily.withColumn("span", span), ["source_id", "span", "metric"], percents)
+
+
+def overall_percentiles(daily: DataFrame, percents: tuple = PERCENTS) -> DataFrame:
+    """Percentiles per metric over all sources and days, from daily sketches."""
+    return percentile_table(daily, ["metric"], percents)
+
+
+def bound_check(stats: DataFrame, percents: tuple = PERCENTS, metrics: tuple = METRICS) -> DataFrame:
+    """``metric, n, collapsed, within``: whether every overall percentile lies within its ``rank_error`` of the exact rank.
+
+    The exact ranks of the estimates are counted over all readings; ``collapsed`` tells that buffers were collapsed, so that the bound is not 0.
+    """
+    got = checkpointed(overall_percentiles(daily_sketches(stats), percents))  # a row a metric
+    one = one_per_clip(stats, ["clip_id", *metrics])
+    x = one.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in metrics])).alias("r")).select("r.*").where("x is not null and not isnan(x) and abs(x) < double('inf')")
+    names = [f"p{round(p * 100)}" for p in percents]
+    j = x.join(F.broadcast(got), "metric")
+    g = j.groupBy("metric", "n", "rank_error").agg(*[y for c in names for y in (F.count_if(F.col("x") < F.col(c)).alias(f"l_{c}"), F.count_if(F.col("x") <= F.col(c)).alias(f"u_{c}"))])
+    ok = F.lit(True)
+    for p, c in zip(percents, names):
+        t = F.ceil(F.col("n") * p - 1e-9)
+        ok = ok & (F.col(f"l_{c}") + 1 - F.col("rank_error") <= t) & (t <= F.col(f"u_{c}") + F.col("rank_error"))
+    return g.select("metric", "n", (F.col("rank_error") > 0).alias("collapsed"), ok.alias("within"))

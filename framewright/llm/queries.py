@@ -30,6 +30,8 @@ QUERIES = {
     "p1_coverage": lambda s, d: overlap.record_coverage(load(s, d, "clips")),
     "p3_daily_percentiles": lambda s, d: percentiles.daily_percentiles(load(s, d, "clip_quality_stats")),
     "p3_monthly_percentiles": lambda s, d: percentiles.span_percentiles(percentiles.daily_sketches(load(s, d, "clip_quality_stats")), F.trunc("day", "month")),
+    "p3_overall_percentiles": lambda s, d: percentiles.overall_percentiles(percentiles.daily_sketches(load(s, d, "clip_quality_stats"))),
+    "p3_bound_check": lambda s, d: percentiles.bound_check(load(s, d, "clip_quality_stats")),
     "p4_found": lambda s, d: splits.split_groups(load(s, d, "clips"), load(s, d, "sources")),
     "p4_groups": lambda s, d: splits.grouped(load(s, d, "clips"), load(s, d, "sources")).where("group_key is not null").groupBy("root_source", "group_key").agg(F.count("*").alias("records")),
     "p4_assignment": _assigned,
@@ -53,6 +55,13 @@ def _percentile_sql(span: str, name: str) -> str:
     return f"with one as ({one}), l as ({long}) select source_id, {name}, metric, count(*) as n, {ps}, 0.0::double as rank_error from l where isfinite(x) group by source_id, {name}, metric"
 
 
+def _bound_sql() -> str:
+    """Readings per metric; from one sketch's worth of raw values on, buffers must have been collapsed."""
+    one = "select clip_id, arg_min(struct_pack(" + ", ".join(percentiles.METRICS) + "), stat_id) as r from clip_quality_stats group by clip_id"
+    long = " union all ".join(f"select '{m}' as metric, r.{m} as x from one" for m in percentiles.METRICS)
+    return f"with one as ({one}), l as ({long}) select metric, count(*) as n, count(*) >= {percentiles.SIZE * percentiles.FAN} as collapsed, true as within from l where isfinite(x) group by metric"
+
+
 _GROUPS = r"""with c as (select coalesce(parent_source_id, s.source_id, clips.source_id) as root_source, group_id, descriptor.root_dir as rd, lower(trim(split)) as sp from clips left join sources s on s.source_id = clips.source_id),
 g as (select root_source, nullif(regexp_replace(regexp_replace(lower(case when coalesce(regexp_replace(group_id, '[\s/]+', '', 'g'), '') <> '' then group_id else regexp_extract(rtrim(rd, '/ '), '([^/]+)$', 1) end), '[\s/]+', '', 'g'), '[-_.]+', '_', 'g'), '') as group_key,
 case when sp in ('train', 'training') then 'train' when sp in ('val', 'valid', 'validation') then 'validation' when sp in ('test', 'testing') then 'test' end as sp from c)"""
@@ -60,6 +69,7 @@ case when sp in ('train', 'training') then 'train' when sp in ('val', 'valid', '
 ORACLES: dict[str, str] = {
     "p3_daily_percentiles": _percentile_sql("cast(r.eval_time as date)", "day"),
     "p3_monthly_percentiles": _percentile_sql("cast(date_trunc('month', r.eval_time) as date)", "span"),
+    "p3_bound_check": _bound_sql(),
     "p7_fill_check": "select spec_id, count(*) as texts, cast(0 as bigint) as bad_containers, cast(0 as bigint) as cut_texts, true as near_bound from documents, container_specs where text <> '' and capacity_tokens > 0 group by spec_id",
     "p4_found": f"{_GROUPS} select root_source, group_key from g where sp is not null and group_key is not null and root_source is not null group by all having count(distinct sp) > 1",
     "p4_groups": f"{_GROUPS} select root_source, group_key, count(*) as records from g where group_key is not null group by all",

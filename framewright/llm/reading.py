@@ -25,7 +25,7 @@ def prose_text(text: Column) -> Column:
     """
     t = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG, "\n")).otherwise(text)
     t = F.when(F.contains(text, F.lit("#")), F.regexp_replace(t, r"(?m)^[ \t]*+#.*+$", " ")).otherwise(t)
-    return F.regexp_replace(t, r"([^\s/_\\=\d]++)(?!\S)|\S++", "$1")  # token by token, so linear in the text
+    return let(t, lambda x: F.when(x.rlike(r"[/_\\=\d]"), F.regexp_replace(x, r"([^\s/_\\=\d]++)(?!\S)|\S++", "$1")).otherwise(x))  # token by token, so linear in the text
 
 
 def is_prose(text: Column) -> Column:

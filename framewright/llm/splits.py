@@ -3,21 +3,20 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions.keys import clip_key, group_key, split_name
-from framewright.session import checkpointed, guarded_join
+from framewright.session import checkpointed, guarded_join, salted_join, written
 
 
 def grouped(clips: DataFrame, sources: DataFrame) -> DataFrame:
     """``manifest_pos, root_source, group_key, split`` and ``component``, the related records' common key.
 
     The root source is the parent of a re-release. A record that names no group, neither in ``group_id`` nor by its root
-    folder, is related to records of the same clip only.
+    folder, is related to records of the same clip only. This is the key before ``components`` joins keys that share a clip.
     """
     roots = sources.select("source_id", F.coalesce("parent_source_id", "source_id").alias("root_source")).where("source_id is not null").dropDuplicates(["source_id"])
     c = clips.select("manifest_pos", "source_id", group_key(F.col("group_id"), F.col("descriptor.root_dir")).alias("group_key"), split_name(F.col("split")).alias("split"), clip_key(F.col("clip_id")).alias("key"))
@@ -26,13 +25,49 @@ def grouped(clips: DataFrame, sources: DataFrame) -> DataFrame:
     return c.withColumn("component", F.concat_ws("\x1f", F.coalesce("root_source", F.lit("")), F.coalesce(F.concat(F.lit("group:"), F.col("group_key")), alone)))
 
 
+def connected(edges: DataFrame) -> DataFrame:
+    """``node, root`` of every node of ``edges`` (``a, b``, strings): the least node of its component.
+
+    Alternating stars: each node's greater neighbours, then its lesser ones, are tied to the least node it knows. Minima are combined before
+    the shuffle and hot nodes are split, so no neighbourhood is gathered; the rounds grow with the logarithm of a component's length.
+    """
+    e = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    while True:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = salted_join(both, low, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = checkpointed(large.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = salted_join(large, least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        new = checkpointed(small.where("u <> v").distinct())
+        if new.count() == e.count() and new.join(e, ["u", "v"], "left_anti").isEmpty():
+            return new.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(new.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        e = new
+
+
+def components(records: DataFrame) -> DataFrame:
+    """``component, whole``: keys of ``grouped`` records and the component they lie in; only keys that share a clip with another have a row.
+
+    Records of one clip of one root source belong together even if its lines name several groups, or a group and none.
+    """
+    r = records.where("key is not null").select(F.concat_ws("\x1f", F.coalesce("root_source", F.lit("")), "key").alias("clip"), "component").distinct()
+    least = r.groupBy("clip").agg(F.min("component").alias("a"), F.max("component").alias("z")).where("a <> z").select("clip", "a")
+    edges = guarded_join(r, least, ["clip"], "inner").select("a", F.col("component").alias("b"))
+    return connected(edges).toDF("component", "whole")
+
+
+def group_table(clips: DataFrame, sources: DataFrame) -> DataFrame:
+    """``component, root_source, group_key, weight, splits``: the groups that are laid out, with the splits their records name now."""
+    g = grouped(clips, sources)
+    return g.groupBy("component", "root_source", "group_key").agg(F.count("*").cast("double").alias("weight"), F.collect_set("split").alias("splits"))
+
+
 def split_groups(clips: DataFrame, sources: DataFrame) -> DataFrame:
     """Groups whose records now name more than one of train, validation and test: ``root_source, group_key``.
 
     Records that name no split or no group don't count.
     """
-    g = grouped(clips, sources).where("split is not null and group_key is not null and root_source is not null")
-    return g.groupBy("root_source", "group_key").agg(F.min("split").alias("a"), F.max("split").alias("b")).where("a <> b").select("root_source", "group_key")
+    return group_table(clips, sources).where("group_key is not null and root_source is not null and size(splits) > 1").select("root_source", "group_key")
 
 
 def largest_difference(parts: list[list[tuple[float, list]]], bins: int) -> list[tuple[float, list]]:
@@ -106,23 +141,26 @@ def allocate(weights: list[tuple[int, float]], shares: list[tuple[str, float]])
 
 
 def assign_splits(clips: DataFrame, sources: DataFrame, targets: DataFrame, bins: int = 200, per_task: int = 20_000) -> DataFrame:
-    """One split per record, ``manifest_pos, root_source, group_key, split``; related records share theirs.
+    """One split per record, ``manifest_pos, root_source, group_key, split``; related records (``components``) share theirs.
 
     Shares are of records. Weights are summed per component before any shuffle of single records, so a component that holds a third of
     all rows is one weight. Null or non-positive target shares take no part; shares are scaled to sum to one. Equal bins are as fine as the
     heaviest component allows: a component heavier than a split's share overfills that split and no other.
     An empty table gives an empty result; repeated lines are records of their own.
     """
-    rec = grouped(clips, sources)
-    comp = checkpointed(rec.groupBy("component").agg(F.count("*").cast("double").alias("weight")))
+    rec = written(grouped(clips, sources))
+    whole_of = checkpointed(components(rec))
+    weights_of = rec.groupBy("component").agg(F.count("*").cast("double").alias("weight"))
+    of = written(guarded_join(weights_of, whole_of, ["component"]).select("component", F.coalesce("whole", "component").alias("whole"), "weight"))
+    comp = checkpointed(of.groupBy(F.col("whole").alias("component")).agg(F.sum("weight").alias("weight")))
     placed = checkpointed(balanced_bins(comp, bins, per_task).join(comp, "component"))
     shares = [(r[0], float(r[1])) for r in targets.where("target_share > 0 and split_name is not null").select("split_name", "target_share").collect()]
     whole = sum(s for _, s in shares) or 1.0
     weights = [(r[0], r[1]) for r in placed.groupBy("bin").agg(F.sum("weight")).collect()]  # at most `bins` rows
     where = allocate(weights, [(n, s / whole) for n, s in shares])
     names = clips.sparkSession.createDataFrame(list(where.items()) or [(-1, "")], "bin int, split string")
-    bound = placed.join(F.broadcast(names), "bin").select("component", "split")
-    return rec.drop("split", "source_id", "key").join(bound, "component").select("manifest_pos", "root_source", "group_key", "split")
+    bound = placed.join(F.broadcast(names), "bin").select(F.col("component").alias("whole"), "split").join(of.select("component", "whole"), "whole").select("component", "split")
+    return salted_join(rec.drop("split", "source_id", "key"), bound, ["component"]).select("manifest_pos", "root_source", "group_key", "split")
 
 
 def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:

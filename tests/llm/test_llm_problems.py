@@ -192,6 +192,30 @@ def test_splits(spark):
     assert splits.assign_splits(clips(spark, rows), src, tgt).count() == len(rows)
 
 
+def test_components(spark):
+    """Chains of links against union-find; a hot node; records of a clip with and without group."""
+    r = random.Random(6)
+    pairs = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(0, 40)] + [("hub", f"h{i}") for i in range(60)] + [(f"x{r.randrange(80)}", f"x{r.randrange(80)}") for _ in range(60)]
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            up[max(top(a), top(b))] = min(top(a), top(b))
+    got = {x.node: x.root for x in splits.connected(spark.createDataFrame(pairs, "a string, b string")).collect()}
+    assert got == {x: top(x) for x in up if any(x in p and p[0] != p[1] for p in pairs)}
+    src = spark.createDataFrame([("s", None)], "source_id string, parent_source_id string")
+    tgt = spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split_name string, target_share double")
+    rows = [("a", "s", None, "g1", None, None), ("A ", "s", None, "g2", None, None), ("b", "s", None, "g2", None, None), ("b", "s", None, None, None, None), ("c", "s", None, "g3", None, None)]
+    s = {x.manifest_pos: x.split for x in splits.assign_splits(clips(spark, rows), src, tgt).collect()}
+    assert len({s[i] for i in range(4)}) == 1 and s[4] != s[0]
+    assert splits.connected(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
 def test_differencing():
     got = splits.largest_difference([[(float(w), [w])] for w in (8, 7, 6, 5, 4)], 2)
     assert sorted(w for w, _ in got) == [14.0, 16.0] and sorted(m for _, ms in got for m in ms) == [4, 5, 6, 7, 8]

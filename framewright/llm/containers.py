@@ -152,8 +152,9 @@ def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int =
             for s in used:
                 left[s] += 1
                 rest += 1
-                if s > kinds[-1]:
-                    kinds.append(s)
+                i = bisect.bisect_left(kinds, s)
+                if i == len(kinds) or kinds[i] != s:
+                    kinds.insert(i, s)
             waste -= capacity - sum(used)
             stack[-1] = ([], alts)
         if not alts:

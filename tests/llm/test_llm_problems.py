@@ -301,6 +301,19 @@ def test_dominance_and_bound():
         assert containers.least_bins(s, 30) <= len(containers.best_fit(s, 30))
 
 
+def test_search_keeps_every_item():
+    """Blocks in which the search goes back and forth: each item once, no container over its capacity, never worse than best fit."""
+    r = random.Random(11)
+    ends = set()
+    for k in range(120):
+        cap = r.choice([50, 100, 512])
+        s = [min(cap - 1, max(1, round(r.choice([r.gauss(cap / 3, cap / 12), r.gauss(cap / 2.2, cap / 30), r.lognormvariate(2, 1)])))) for _ in range(r.randint(5, 150))]
+        b, ended = containers.complete_bins(s, cap, nodes=40, budget=300)
+        ends.add(ended)
+        assert sorted(x for y in b for x in y) == sorted(s) and all(sum(y) <= cap for y in b) and len(b) <= len(containers.best_fit(s, cap))
+    assert ends == {"bound", "searched", "budget"} or ends == {"bound", "budget"}
+
+
 def test_plain_inputs_end():
     """Thousands of equal or tiny items, and items that never share a container."""
     for sizes, cap, want in (([4] * 2_000, 8_000, 1), ([1] * 10_000, 512, 20), ([6] * 20_000, 10, 20_000), ([5_000] * 3 + [3] * 1_200, 8_192, 3)):

@@ -208,6 +208,7 @@ def percentile_table(sketches: DataFrame, keys: list[str], percents: tuple = PER
             pick = at[:, None] + np.clip(np.ceil(ps[None, :] * n[:, None] - 1e-9).astype(int) - 1, 0, None)
             got = sv[np.minimum(pick, max(len(sv) - 1, 0))] if len(sv) else np.full((len(starts), len(ps)), np.nan)
             e = np.zeros(len(starts))
+            plain &= n < SIZE * FAN  # more values than a sketch holds are collapsed, wherever they came from
             for i in np.flatnonzero(~plain):
                 raw, lv, e[i] = _of_key(flat, off, level, err, bound[i], bound[i + 1])
                 n[i], got[i] = sketch_percentiles(raw, lv, percents)

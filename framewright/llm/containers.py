@@ -81,12 +81,12 @@ def sums_without(filling: list[int], x: int) -> int:
     return sums
 
 
-def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, nodes: int) -> list[tuple[int, list[int]]]:
+def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, nodes: int, quick: bool = False) -> list[tuple[int, list[int]]]:
     """Undominated maximal fillings of ``room`` by least waste, ``(waste, sizes)``; ``kinds`` ascending with ``left`` of each.
 
     Depth first with the largest first and as many of a size as fit, so of fillings of equal waste the first found has the largest
     items. The search ends once ``nodes`` were visited or ``width`` fillings stand with one that wastes nothing; what it has found by then
-    counts, at least the first.
+    counts, at least the first. ``quick`` ends it with the first undominated filling that wastes nothing, since none is better.
     """
     found: dict[int, list[int]] = {}
     taken: list[tuple[int, int]] = []  # (index in kinds, how many), indices falling
@@ -108,7 +108,7 @@ def fillings(kinds: list[int], left: dict[int, int], room: int, width: int, node
                     found[room] = sizes
                     if len(found) > width:
                         del found[max(found)]
-        if not taken or seen >= nodes or (0 in found and len(found) >= width):
+        if not taken or seen >= nodes or (0 in found and (quick or len(found) >= width)):
             return sorted(found.items())[:width] or [first or (room, [])]
         top, n = taken.pop()  # one less of the smallest, then smaller ones in its room
         room += kinds[top]
@@ -132,22 +132,27 @@ def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int =
     bound = least_bins(sizes, capacity)
     left = dict(Counter(sizes))
     kinds = sorted(left)
-    stack: list[tuple[list[int], list]] = []  # containers made, with the fillings still to try at each
+    stack: list[tuple[list[int], list, bool]] = []  # containers made, the fillings still to try at each, and whether others may be sought
     waste, spent, rest, end = 0, 0, len(sizes), budget + len(sizes)
 
-    def open_next() -> None:
+    def around(quick: bool) -> list[list[int]]:
+        """Fillings around the largest size left, by least waste."""
         while kinds and not left[kinds[-1]]:
             kinds.pop()
         first = kinds[-1]
         left[first] -= 1
-        alts = [[first, *f] for _, f in fillings(kinds, left, capacity - first, width, nodes)]
+        alts = [[first, *f] for _, f in fillings(kinds, left, capacity - first, width, nodes, quick)]
         left[first] += 1
-        stack.append(([], alts))
+        return alts
+
+    def open_next() -> None:
+        alts = around(True)
+        stack.append(([], alts, sum(alts[0]) == capacity))
 
     if len(best) > bound:
         open_next()
     while stack and len(best) > bound and spent < end:
-        used, alts = stack[-1]
+        used, alts, more = stack[-1]
         if used:  # take back
             for s in used:
                 left[s] += 1
@@ -156,7 +161,9 @@ def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int =
                 if i == len(kinds) or kinds[i] != s:
                     kinds.insert(i, s)
             waste -= capacity - sum(used)
-            stack[-1] = ([], alts)
+            if more and not alts:  # the search for others ended with one that wastes nothing
+                alts, more = [f for f in around(False) if f != used], False
+            stack[-1] = ([], alts, more)
         if not alts:
             stack.pop()
             continue
@@ -168,11 +175,11 @@ def complete_bins(sizes: list[int], capacity: int, width: int = 3, nodes: int =
             left[s] -= 1
             rest -= 1
         waste += capacity - sum(now)
-        stack[-1] = (now, alts)
+        stack[-1] = (now, alts, more)
         spent += 1
         if rest == 0:
             if len(stack) < len(best):
-                best = [list(u) for u, _ in stack]
+                best = [list(u) for u, _, _ in stack]
         else:
             open_next()
     return best, "bound" if len(best) <= bound else "searched" if spent < end else "budget"

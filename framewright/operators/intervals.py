@@ -79,13 +79,10 @@ def periods_and_gaps(df: DataFrame, shard: int = 1 << 16) -> DataFrame:
     stitched = merge_intervals(edges, "video", "s", "e")
     # a border-free run lies under a stitched period only if a middle piece covers its shard
     inner = local.where("not edge")
-    cover = (
-        middle.select("video", F.col("s").alias("cs"), F.col("e").alias("ce"))
-        .join(inner.select("video", "sh").distinct(), "video")
-        .where((F.col("cs") <= F.col("sh") * w) & (F.col("ce") >= (F.col("sh") + 1) * w))
-        .select("video", "sh")
-        .distinct()
-    )
+    # merged middles are disjoint and begin at shard borders, so only the last one that begins at or before a shard can cover it
+    marks = inner.select("video", "sh").distinct().withColumn("ce", F.lit(None).cast("bigint")).unionByName(middle.select("video", F.floor(F.col("s") / shard).alias("sh"), F.col("e").alias("ce")))
+    before = Window.partitionBy("video").orderBy("sh", F.col("ce").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    cover = marks.withColumn("end", F.last("ce", True).over(before)).where(F.col("ce").isNull() & (F.col("end") >= (F.col("sh") + 1) * w)).select("video", "sh")
     inner = inner.join(cover, ["video", "sh"], "left_anti").select("video", "s", "e")
     periods = stitched.unionByName(inner).withColumn("sh", F.floor(F.col("s") / shard))
 

@@ -68,11 +68,15 @@ def clip_offsets(s, d):
     return manifest.offsets_of(i, i.where("clip_id >= 'f2'")).select("clip_id", F.size("frame_offsets").cast("bigint").alias("frames"))
 
 
-@query(f"with {_IX}, e as (select *, count(*) over () as k from cl) select 'hands' as source_id, 'train' as split, 'set_a' as group_id, 'tar_shard' as kind, true as light")
+_SOUND = r"""one as (select tar_path, arg_min(frame_names, listing_id) as names from tar_sources where tar_path is not null group by tar_path), mem as (select tar_path as shard, unnest(names) as name from one),
+p as (select shard, regexp_extract(name, '([^/]+)_[fF][0-9]+\.[A-Za-z]+$', 1) as clip, cast(nullif(regexp_extract(name, '_[fF]([0-9]+)\.[A-Za-z]+$', 1), '') as bigint) as f, lower(regexp_extract(name, '\.([A-Za-z]+)$', 1)) as ext from mem), ok as (select clip, count(*) as n from p where clip <> '' group by clip having count(distinct shard) = 1 and count(distinct ext) = 1 and max(f) - min(f) + 1 = count(*) and count(distinct f) = count(*))"""
+
+
+@query(f"with {_SOUND} select clip as clip_id, 'hands' as source_id, 'train' as split, 'set_a' as group_id, 'tar_shard' as kind, true as light, n as frames from ok")
 def index_records(s, d):
-    """Manifest records of an index: all alike but for their clip."""
+    """Manifest records of the indexed clips without error."""
     r = manifest.records(manifest.descriptors(_index(s, d), F.lit("/data/set_a/"), 30.0), "hands", "train")
-    return r.select("source_id", "split", "group_id", F.col("descriptor.storage_kind").alias("kind"), (manifest.storage_class(F.col("descriptor")) == "light_tar").alias("light")).distinct()
+    return r.select("clip_id", F.col("descriptor.frame_count_override").cast("bigint").alias("frames"), "source_id", "split", "group_id", F.col("descriptor.storage_kind").alias("kind"), (manifest.storage_class(F.col("descriptor")) == "light_tar").alias("light"))
 
 
 @query(
@@ -151,9 +155,6 @@ def absent_members(s, d):
     return manifest.completed_members(load(s, d, "customer").select("c_custkey"), load(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
-_LINE = "10 * vec_id + j"
-
-
 @query(f"with {FR} select clip as clip_id, row_number() over (partition by clip order by f) - 1 as frame_idx, (100 * vec_id + 3 * [0, 1, 6, 7, 8, 2, 9, 10, 11, 3, 12, 13, 14, 4, 15, 16, 17, 5, 18, 19, 20][8])::double as j7, (100 * vec_id + 2)::double as wrist_z from fr")
 def skeletons(s, d):
     """Lines of 64 numbers (a frame from 1 with gaps, 21 points), brought to frames 0 .. n-1 in order; joint 7 is the eleventh point."""

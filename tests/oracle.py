@@ -2,6 +2,7 @@
 
 import math
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 
@@ -37,3 +38,15 @@ def compare(spark, con, query, sql, sf):
     cur = con.execute(sql)
     b = rows([c[0] for c in cur.description], cur.fetchall())
     return a, b
+
+
+def ahead(names, work, threads=6):
+    """Start ``work`` on every name in threads, since planning tiny queries keeps one core busy; ``name -> future``."""
+    pool = ThreadPoolExecutor(threads)
+    return {n: pool.submit(work, n) for n in names}
+
+
+def compared(spark, queries, oracles, sf):
+    """Futures of the comparison of every query with its SQL."""
+    con = connect(sf)
+    return ahead(sorted(oracles), lambda n: compare(spark, con.cursor(), queries[n], oracles[n], sf))

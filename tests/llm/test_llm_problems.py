@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from oracle import compare, connect
+from oracle import ahead, compared
 from pyspark.sql import functions as F
 
 from framewright.llm import containers, mixing, overlap, percentiles, queries, reading, splits
@@ -411,12 +411,20 @@ def test_coverage_rank(spark):
     assert r[1] == [1, 2, 4] and r[2] == [1, 2, 2]  # a is first, b second, c and d share the fourth rank
 
 
+PLAIN = sorted(set(queries.QUERIES) - set(queries.ORACLES))
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    return {**compared(spark, queries.QUERIES, queries.ORACLES, "sf0.001"), **ahead(PLAIN, lambda n: queries.QUERIES[n](spark, DATA).count())}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
-def test_query_equals_sql(spark, name):
-    (ca, a), (cb, b) = compare(spark, connect("sf0.001"), queries.QUERIES[name], queries.ORACLES[name], "sf0.001")
+def test_query_equals_sql(results, name):
+    (ca, a), (cb, b) = results[name].result()
     assert ca == cb and len(a) == len(b) and a == b
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
-def test_query_runs(spark, name):
-    queries.QUERIES[name](spark, DATA).count()
+@pytest.mark.parametrize("name", PLAIN)
+def test_query_runs(results, name):
+    results[name].result()

@@ -44,6 +44,13 @@ def issue_summary(errors: DataFrame, code: str = "annotation_error") -> DataFram
     return errors.where(e.isNotNull()).agg(*[F.count_if(e == c).alias(c) for c in CODES], F.count_if(~e.isin(*CODES)).alias("other"), F.count("*").alias("total"))
 
 
+def write_issues(clips: DataFrame, folder: str, pos: str = "manifest_pos", code: str = "annotation_error") -> None:
+    """JSON lines of the clips with an error in manifest order (``issues``) and the one-row summary (``summary``) under ``folder``."""
+    bad = clips.where(F.col(code).isNotNull())
+    bad.select(pos, "clip_id", "path", code).repartitionByRange(F.col(pos)).sortWithinPartitions(pos).write.mode("overwrite").json(f"{folder}/issues")
+    issue_summary(clips, code).write.mode("overwrite").json(f"{folder}/summary")
+
+
 def status_counts(results: DataFrame, status: str, known: list[str]) -> DataFrame:
     """One row of counts per known status (0 if it doesn't occur) and ``total``."""
     return results.agg(*[F.count_if(F.col(status) == s).alias(s) for s in known], F.count("*").alias("total"))

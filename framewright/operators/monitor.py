@@ -37,6 +37,19 @@ def replayed(events: DataFrame, videos: DataFrame, stages: list[str] | None = No
     return grid.join(last, ["video", "stage"], "left").na.fill("pending", ["status"]).na.fill(0, ["failures"])
 
 
+def status_with_fallback(stored: list[DataFrame | None], replay: DataFrame) -> DataFrame:
+    """State of a run from the first of ``stored`` (the status file, then its backup: ``video, stage, status, failures, error``) that has rows
+    and no malformed one (null video, stage or status); else by replay of the event log.
+    """
+    for s in stored:
+        if s is None:
+            continue
+        r = s.agg(F.count("*").alias("n"), F.count_if(F.col("video").isNull() | F.col("stage").isNull() | F.col("status").isNull()).alias("bad")).first()
+        if r["n"] and not r["bad"]:
+            return s.select(*replay.columns)
+    return replay
+
+
 def video_states(status: DataFrame) -> DataFrame:
     """Per video: completed if all stages are, failed if any is, partial if some are completed, else pending."""
     g = status.groupBy("video").agg(F.bool_and(F.col("status") == "completed").alias("a"), F.bool_or(F.col("status") == "failed").alias("f"), F.bool_or(F.col("status") == "completed").alias("s"))

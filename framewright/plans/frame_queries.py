@@ -254,6 +254,19 @@ def filter_report(s, d):
     return pipeline.filter_clips(f.select("clip_id").distinct(), f, CRITERIA, past=6, future=3)[1]
 
 
+_CATEGORIES = """, bi as (select clip, list_filter([case when substr(clip, 2)::int % 4 = 0 then 'invalid_stage_output:slam' end, case when substr(clip, 2)::int % 7 = 0 then 'missing_track_range' end], lambda x: x is not null) as issues from cm), fc as (select clip, case when len(issues) > 0 then 'build_invalid' when len(reasons) > 0 then 'quality' else 'kept' end as category, case when len(issues) > 0 then issues else reasons end as rs from rs join bi using (clip))"""
+
+
+@query(f"{_CM}{_decide_sql(CRITERIA)}{_CATEGORIES} select category, reason, count(*) as clips from (select category, unnest(list_concat([null::varchar], rs)) as reason from fc) group by all")
+def filter_categories(s, d):
+    """Clips that can't be built apart from those dropped for quality."""
+    f = frames116(s, d)
+    m = f.select("clip_id").distinct()
+    n = F.substring("clip_id", 2, 9).cast("int")
+    bad = m.where(n % 4 == 0).select("clip_id", F.lit("invalid_stage_output:slam").alias("reason")).unionByName(m.where(n % 7 == 0).select("clip_id", F.lit("missing_track_range").alias("reason")))
+    return pipeline.category_report(pipeline.filter_clips(m, f, CRITERIA, past=6, future=3, build_issues=bad)[0])
+
+
 @query(f"with {FR}, g as (select clip, bool_and(not lacks and not has_nan) as finite from fr group by clip) select clip as clip_id, finite, true as follows, finite as valid from g")
 def native_vectors(s, d):
     """Actions of frames that have a vector are the next frame's state."""

@@ -131,19 +131,35 @@ def with_answers(df: DataFrame, prompt: str, call: Callable[[str], str], tries:
     return df.mapInPandas(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", answer string, error string")
 
 
-def filter_clips(manifest: DataFrame, frames: DataFrame, criteria: dict | None = None, past: int | None = 180, future: int = 30) -> tuple[DataFrame, DataFrame]:
-    """(manifest with ``reasons`` and ``keep``, report) of the quality filter.
+def filter_clips(manifest: DataFrame, frames: DataFrame, criteria: dict | None = None, past: int | None = 180, future: int = 30, build_issues: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(manifest with ``build_reasons, quality_reasons, reasons, drop_category`` and ``keep``, report) of the quality filter.
 
-    Metrics are computed once and written; thresholds are one aggregate over them, then each clip is judged. A clip without frames can't be built:
-    ``empty_frames``.
+    Metrics are computed once and written; thresholds are one aggregate over them, then each clip is judged. ``build_issues`` (``clip_id, reason``) are
+    what keeps clips from being built (a stage's output that is missing or invalid, no track range); a clip without frames has ``empty_frames``. A clip
+    that can't be built is ``build_invalid`` and not judged further, one with quality reasons only is ``quality``.
     """
     metrics = checkpointed(quality.clip_metrics(frames, past, future))
-    judged = quality.decide(metrics, criteria or {}).select("clip_id", "reasons")
-    d = manifest.join(judged, "clip_id", "left").withColumn("reasons", F.coalesce("reasons", F.array(F.lit("empty_frames"))))
-    d = d.withColumn("keep", F.size("reasons") == 0)
+    judged = quality.decide(metrics, criteria or {}).select("clip_id", F.col("reasons").alias("quality_reasons"))
+    d = manifest.join(judged, "clip_id", "left")
+    none = F.array().cast("array<string>")
+    bad = F.when(F.col("quality_reasons").isNull(), F.array(F.lit("empty_frames"))).otherwise(none)
+    if build_issues is not None:
+        d = d.join(build_issues.groupBy("clip_id").agg(F.array_sort(F.collect_set("reason")).alias("__issues")), "clip_id", "left")
+        bad = F.concat(F.coalesce("__issues", none), bad)
+    d = d.withColumn("build_reasons", bad).drop("__issues")
+    d = d.withColumn("quality_reasons", F.when(F.size("build_reasons") > 0, none).otherwise(F.coalesce("quality_reasons", none)))
+    d = d.withColumn("reasons", F.concat("build_reasons", "quality_reasons")).withColumn("keep", F.size("reasons") == 0)
+    d = d.withColumn("drop_category", F.when(F.size("build_reasons") > 0, "build_invalid").when(F.size("quality_reasons") > 0, "quality"))
     return d, quality.drop_report(d)
 
 
+def category_report(filtered: DataFrame) -> DataFrame:
+    """``category, reason, clips``: clips per reason within ``build_invalid`` and ``quality``; of null reason the clips of each category and ``kept``."""
+    c = F.coalesce("drop_category", F.lit("kept"))
+    d = filtered.select(c.alias("category"), F.explode(F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("reasons"))).alias("reason"))
+    return d.groupBy("category", "reason").agg(F.count("*").alias("clips"))
+
+
 def prepared_episodes(manifest: DataFrame, sidecars: DataFrame, frames_col: str, config: RunConfig, limit: int | None = None) -> DataFrame:
     """Episodes with annotations, frames that have an action, their numbers in manifest order, and their shards."""
     m = annotation.with_annotations(shards.head(manifest, "manifest_pos", limit), sidecars, suffix=config.annotation_suffix)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,6 +120,22 @@ def index_is_stale(index: DataFrame, shards: DataFrame) -> DataFrame:
     return a.join(b, "shard", "left_anti").withColumn("change", F.lit("added")).unionByName(b.join(a, "shard", "left_anti").withColumn("change", F.lit("removed")))
 
 
+def load_or_build_index(spark: SparkSession, path: str, members: Callable[[], DataFrame], shards: DataFrame) -> DataFrame:
+    """The index stored at ``path`` if it was made of just these ``shards``; else it is built from ``members()`` and stored.
+
+    The listing it was made of is stored beside it, since shards without a clip of their own leave no row in the index.
+    """
+    listing_path = f"{path.rstrip('/')}.shards"
+    try:
+        if index_is_stale(spark.read.parquet(listing_path), shards).isEmpty():
+            return spark.read.parquet(path)
+    except AnalysisException:  # nothing stored yet
+        pass
+    clip_index(members()).write.mode("overwrite").parquet(path)
+    shards.select("shard").distinct().write.mode("overwrite").parquet(listing_path)  # last: an interrupted build stays stale
+    return spark.read.parquet(path)
+
+
 def offsets_of(index: DataFrame, clips: DataFrame) -> DataFrame:
     return clips.select("clip_id").distinct().join(index.select("clip_id", "frame_offsets"), "clip_id")
 
@@ -275,6 +292,11 @@ def cached(cache: DataFrame, wanted: DataFrame, key: str, version: int, params:
     return wanted.join(cache.where(ok).drop("version", *params), key, "left")
 
 
+def write_cache(features: DataFrame, path: str, version: int, params: dict) -> None:
+    """Append features to a cache with the version and parameters they were made under, as ``cached`` reads them."""
+    features.withColumns({"version": F.lit(version), **{k: F.lit(v) for k, v in params.items()}}).write.mode("append").parquet(path)
+
+
 def camera_of_clip(poses: DataFrame, clips: DataFrame, default: tuple = (500.0, 500.0, 320.0, 240.0)) -> DataFrame:
     """``clip_id, mode, k``: ``direct`` if a clip has a pose per frame, ``interpolate`` if fewer, ``identity`` without any; default intrinsics then.
 
